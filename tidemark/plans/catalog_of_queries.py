@@ -1,6 +1,10 @@
 """Imports every query module, so that the registry is complete."""
 
-from tidemark.plans import q_business  # noqa: F401
+from tidemark.plans import (  # noqa: F401
+    q_business,
+    q_cleansing,
+    q_joins,
+)
 from tidemark.plans.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

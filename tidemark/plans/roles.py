@@ -22,6 +22,10 @@ FIRST_MONTH, LAST_MONTH, LAST_FULL_YEAR, YTD_MONTH = "1995-01-01", "2001-12-01",
 MILLIONS = Money(1e6, 8, "_mi")
 
 
+def rows(name: str = "linhas"):
+    return F.count(F.lit(1)).alias(name)
+
+
 def month_of(column: str):
     return F.trunc(F.col(column).cast("date"), "MM")
 
@@ -247,3 +251,56 @@ def customer_bridge(t: Tables) -> DataFrame:
     from tidemark.operators.temporal import temporal_bridge
 
     return temporal_bridge([customer_lines(t)], group_history(t), "cod_empresa", "mes_ref", "cod_grupo")
+
+
+# --- raw text ---------------------------------------------------------------------------------
+
+
+def raw_lines(t: Tables) -> DataFrame:
+    """Line items as a text extract would bring them, with the defects such extracts have.
+
+    Padded company codes, blank and impossible months, product codes that are missing or unknown,
+    decimal commas with residue, thousands separators, words and blanks among the amounts.
+    """
+    amount = F.translate(F.col("l_extendedprice").cast(AMOUNT).cast("string"), ".", ",")
+    code, n = F.col("l_suppkey").cast("string"), F.col("l_linenumber")
+    transfer = F.col("l_returnflag") == "N"
+    tax = F.col("l_tax").cast("decimal(4,2)")
+    return t.lineitem.select(
+        F.when(F.col("l_returnflag") == "R", F.concat(code, F.lit("   "))).otherwise(code).alias("coenti"),
+        F.when(transfer & (n == 7), F.lit(""))
+        .when(transfer & (n == 6), F.concat(F.date_format("l_shipdate", "yyyy"), F.lit("13")))
+        .otherwise(F.date_format("l_shipdate", "yyyyMM"))
+        .alias("damesano"),
+        F.when(tax == 0.08, F.lit(None)).when(tax == 0.07, F.lit("X")).otherwise(F.col("l_linestatus")).alias("tipoProd"),
+        F.when(transfer & (n == 4), F.lit("abc"))
+        .when(transfer & (n == 3), F.lit("1.234,56"))
+        .when(transfer & (n == 2), F.lit(" "))
+        .when(n == 5, F.concat(amount, F.lit("0002")))
+        .otherwise(amount)
+        .alias("contrib"),
+        F.when(transfer & (n == 1), F.lit("n/d")).otherwise(F.col("l_quantity").cast("bigint").cast("string")).alias("QUANTIDADE"),
+    )
+
+
+RAW = """raw AS (
+  SELECT CASE WHEN l_returnflag = 'R' THEN CAST(l_suppkey AS VARCHAR) || '   ' ELSE CAST(l_suppkey AS VARCHAR) END AS coenti,
+         CASE WHEN l_returnflag = 'N' AND l_linenumber = 7 THEN ''
+              WHEN l_returnflag = 'N' AND l_linenumber = 6 THEN strftime(l_shipdate, '%Y') || '13'
+              ELSE strftime(l_shipdate, '%Y%m') END AS damesano,
+         CASE WHEN CAST(l_tax AS DECIMAL(4,2)) = 0.08 THEN NULL WHEN CAST(l_tax AS DECIMAL(4,2)) = 0.07 THEN 'X'
+              ELSE l_linestatus END AS tipoProd,
+         CASE WHEN l_returnflag = 'N' AND l_linenumber = 4 THEN 'abc'
+              WHEN l_returnflag = 'N' AND l_linenumber = 3 THEN '1.234,56'
+              WHEN l_returnflag = 'N' AND l_linenumber = 2 THEN ' '
+              WHEN l_linenumber = 5 THEN replace(CAST(CAST(l_extendedprice AS DECIMAL(20,2)) AS VARCHAR), '.', ',') || '0002'
+              ELSE replace(CAST(CAST(l_extendedprice AS DECIMAL(20,2)) AS VARCHAR), '.', ',') END AS contrib,
+         CASE WHEN l_returnflag = 'N' AND l_linenumber = 1 THEN 'n/d'
+              ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS QUANTIDADE
+  FROM lineitem),
+clean AS (
+  SELECT *, trim(coenti) AS cod_empresa, TRY_CAST(replace(trim(contrib), ',', '.') AS DECIMAL(20,2)) AS valor,
+         TRY_CAST(trim(QUANTIDADE) AS BIGINT) AS qt,
+         CASE WHEN regexp_full_match(trim(damesano), '(19|20)[0-9]{2}(0[1-9]|1[0-2])')
+              THEN CAST(strptime(trim(damesano) || '01', '%Y%m%d') AS DATE) END AS mes_ref
+  FROM raw)"""
