@@ -1,9 +1,11 @@
 """Imports every query module, so that the registry is complete."""
 
 from tidemark.plans import (  # noqa: F401
+    q_aggregates,
     q_business,
     q_cleansing,
     q_joins,
+    q_windows,
 )
 from tidemark.plans.registry import ORACLE, QUERIES
 
