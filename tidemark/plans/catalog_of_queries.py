@@ -5,6 +5,9 @@ from tidemark.plans import (  # noqa: F401
     q_business,
     q_cleansing,
     q_joins,
+    q_model,
+    q_quality,
+    q_sources,
     q_windows,
 )
 from tidemark.plans.registry import ORACLE, QUERIES

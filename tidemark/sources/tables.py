@@ -59,13 +59,13 @@ class TableStore:
         if not self.spark.catalog.tableExists(name.replace("`", "")):
             return self.overwrite(df, layer, table, partition_by=[slice_column])
         stored = self.read(layer, table).columns
-        (
-            df.select(*stored)
-            .write.format(self.format)
-            .mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .insertInto(name)
-        )
+        mode = "spark.sql.sources.partitionOverwriteMode"
+        before = self.spark.conf.get(mode)
+        self.spark.conf.set(mode, "dynamic")
+        try:
+            df.select(*stored).write.format(self.format).mode("overwrite").insertInto(name)
+        finally:
+            self.spark.conf.set(mode, before)
         self.spark.catalog.refreshTable(name.replace("`", ""))
         return self.read(layer, table)
 
