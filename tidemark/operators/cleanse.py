@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,12 +72,19 @@ def split_rejects(df: DataFrame, rules: Sequence[tuple[Column, str]], table: str
 
 
 def union_all(frames: Sequence[DataFrame], spark: SparkSession | None = None, schema: str = QUARANTINE_SCHEMA) -> DataFrame:
-    """Fold by column name; an empty table of ``schema`` when there is nothing to fold."""
-    if frames:
-        return reduce(DataFrame.unionByName, frames)
-    if spark is None:
-        raise ValueError("an empty union needs a session")
-    return spark.createDataFrame([], schema)
+    """Stack by column name; an empty table of ``schema`` when there is nothing to stack.
+
+    Neighbours are joined pairwise, so a plan over many frames is analysed at logarithmic depth.
+    """
+    layer = list(frames)
+    if not layer:
+        if spark is None:
+            raise ValueError("an empty union needs a session")
+        return spark.createDataFrame([], schema)
+    while len(layer) > 1:
+        odd = layer[len(layer) // 2 * 2 :]
+        layer = [a.unionByName(b) for a, b in zip(layer[::2], layer[1::2], strict=False)] + odd
+    return layer[0]
 
 
 def scope_filter(df: DataFrame, code: str, allowed: Iterable[str], value: str) -> tuple[DataFrame, DataFrame]:

@@ -109,7 +109,7 @@ class DQSuite:
         return self.relation(table, counted, rule)
 
     def _record(self, table: str, rule: Rule, value: Column, shown: Column) -> Column:
-        number = value.cast("double")
+        number = value.try_cast("double")
         fields = {
             "camada": F.lit(self.layer),
             "tabela": F.lit(table),

@@ -73,11 +73,11 @@ class TableStore:
         self.spark.sql(f"COMMENT ON TABLE {self.name(layer, table)} IS {_quoted(text)}")
 
     def comment_columns(self, layer: str, table: str, texts: Mapping[str, str]) -> None:
-        for column in self.read(layer, table).columns:
-            if texts.get(column):
-                self.spark.sql(
-                    f"ALTER TABLE {self.name(layer, table)} ALTER COLUMN `{column}` COMMENT {_quoted(texts[column])}"
-                )
+        """Document the columns ``texts`` covers, but for partition columns, which take no comment."""
+        name = self.name(layer, table)
+        for column in self.spark.catalog.listColumns(name.replace("`", "")):
+            if texts.get(column.name) and not column.isPartition:
+                self.spark.sql(f"ALTER TABLE {name} ALTER COLUMN `{column.name}` COMMENT {_quoted(texts[column.name])}")
 
     def list_tables(self, layer: str) -> DataFrame:
         listed = self.spark.sql(f"SHOW TABLES IN `{self.prefix}{layer}`")
