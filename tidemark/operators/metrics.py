@@ -24,34 +24,51 @@ def share_of_total(df: DataFrame, by: Sequence[str], value: str, out: str = "par
     return kept.join(totals, list(by)).withColumn(out, ratio(F.col(value), F.col("__total"))).drop("__total")
 
 
+def _concentration_parts(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    """Count, total and sum of squares of the positive values per group."""
+    v = F.col(value)
+    return df.filter(v > 0).groupBy(*by).agg(
+        F.count(F.lit(1)).alias("__n"), F.sum(v).cast("double").alias("__total"), F.sum(v * v).cast("double").alias("__squares")
+    )
+
+
+def _index() -> Column:
+    return F.col("__squares") / (F.col("__total") * F.col("__total")) * 10000
+
+
+def _top_total(df: DataFrame, by: Sequence[str], entity: str, value: str, k: int) -> DataFrame:
+    top = topk_per_group(df.filter(F.col(value) > 0), by, value, k, [entity])
+    return top.groupBy(*by).agg(F.sum(value).cast("double").alias("__top"))
+
+
 def hhi(df: DataFrame, by: Sequence[str], value: str, out: str = "hhi", units: str = "n_unidades") -> DataFrame:
     """Sum of squared percentage shares of the positive values, and how many there are.
 
     Worked out as squares over squared total, one aggregate: no share per row is needed. With
     DECIMAL values the squares add up exactly, so the order of addition does not show.
     """
-    v = F.col(value)
-    whole = F.sum(v).cast("double")
-    index = F.sum(v * v).cast("double") / (whole * whole) * 10000
-    return df.filter(v > 0).groupBy(*by).agg(F.count(F.lit(1)).alias(units), index.alias(out))
+    return _concentration_parts(df, by, value).select(*by, F.col("__n").alias(units), _index().alias(out))
 
 
 def topk_share(
     df: DataFrame, by: Sequence[str], entity: str, value: str, k: int = 5, out: str = "participacao_top"
 ) -> DataFrame:
     """Part of the total that the ``k`` greatest entities of each group hold."""
-    kept = df.filter(F.col(value) > 0)
-    whole = kept.groupBy(*by).agg(F.sum(value).alias("__total"))
-    top = topk_per_group(kept, by, value, k, [entity]).groupBy(*by).agg(F.sum(value).alias("__top"))
-    return top.join(whole, list(by)).select(*by, ratio(F.col("__top"), F.col("__total")).alias(out))
+    whole = _concentration_parts(df, by, value).select(*by, "__total")
+    return _top_total(df, by, entity, value, k).join(whole, list(by)).select(*by, (F.col("__top") / F.col("__total")).alias(out))
 
 
 def concentration(
     df: DataFrame, by: Sequence[str], entity: str, value: str, k: int = 5, share: str = "participacao_top_pct"
 ) -> DataFrame:
-    """Entities, top-k share in percent and HHI per group. ``df`` has one row per group and entity."""
-    top = topk_share(df, by, entity, value, k, "__share").withColumn(share, 100 * F.col("__share")).drop("__share")
-    return hhi(df, by, value).join(top, list(by))
+    """Entities, top-k share in percent and HHI per group. ``df`` has one row per group and entity.
+
+    Two aggregates over the same grouped rows, which Spark computes once and reads twice.
+    """
+    joined = _concentration_parts(df, by, value).join(_top_total(df, by, entity, value, k), list(by))
+    return joined.select(
+        *by, F.col("__n").alias("n_unidades"), (100 * (F.col("__top") / F.col("__total"))).alias(share), _index().alias("hhi")
+    )
 
 
 def flow_to_stock_rate(
@@ -138,7 +155,10 @@ def implausible_average(quantity: Column, value: Column, limit: float) -> Column
 
 
 def group_changes(df: DataFrame, entity: str, group: str) -> DataFrame:
-    """Entities whose group changed, with the groups they had."""
+    """Entities whose group changed, with the groups they had.
+
+    Pairs are made distinct first. A history of one group per month bounds the list by its months.
+    """
     pairs = df.select(entity, group).distinct()
     return (
         pairs.groupBy(entity)

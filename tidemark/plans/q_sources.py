@@ -159,12 +159,12 @@ def s17_encoding(t: Tables) -> DataFrame:
     plain = t.documents.select(F.col("doc_id").cast("string").alias("Coenti"), F.regexp_replace("text", r"[\r\n]", " ").alias("Noenti"))
     path = _written(plain, "texts")
     counts = encoding_report(t.spark, path, "Coenti", "Noenti")[0]
-    total = read_raw(t.spark, path, ["Coenti", "Noenti"]).agg(r.rows())
-    wide = counts.groupBy(F.lit("documents").alias("tabela")).agg(
-        F.sum(F.when(F.col("encoding") == "UTF-8", F.col("corrompidos"))).alias("corrompidos_utf8"),
-        F.sum(F.when(F.col("encoding") != "UTF-8", F.col("corrompidos"))).alias("corrompidos_1252"),
+    total = read_raw(t.spark, path, ["Coenti", "Noenti"]).agg(r.rows("corrompidos")).withColumn("encoding", F.lit("rows"))
+    columns = {"linhas": "rows", "corrompidos_utf8": "UTF-8", "corrompidos_1252": "windows-1252"}
+    return counts.unionByName(total).agg(
+        F.first(F.lit("documents")).alias("tabela"),
+        *[F.sum(F.when(F.col("encoding") == e, F.col("corrompidos"))).alias(n) for n, e in columns.items()],
     )
-    return wide.join(total.withColumn("tabela", F.lit("documents")), "tabela")
 
 
 @query("""SELECT strftime(m, '%Y%m') AS ano_mes FROM (SELECT unnest(generate_series(DATE '1994-11-01', DATE '2001-12-01', INTERVAL 1 MONTH)) AS m)
