@@ -90,6 +90,19 @@ def test_table_store(spark, tmp_path):
     assert {r["tableName"] for r in store.list_tables("silver").collect()} == {"u"}
 
 
+def test_bucketed_tables_are_grouped_and_windowed_without_a_shuffle(spark, tmp_path):
+    from tidemark.operators.dedup import rows_per_key
+    from tidemark.operators.temporal import trailing_mean
+
+    store = TableStore(spark, prefix="bucket_", root=str(tmp_path / "w"))
+    store.create_layers(["silver"])
+    base = spark.range(200).select((F.col("id") % 20).cast("string").alias("e"), F.col("id").alias("m"), F.col("id").cast("decimal(20,2)").alias("v"))
+    stored = store.overwrite(base, "silver", "a", bucket_by=(4, ["e"]))
+    for df in (rows_per_key(stored, ["e", "m"]), trailing_mean(stored, ["e"], "m", "v")):
+        assert df.count() == 200
+        assert "Exchange hashpartitioning" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_stage_reads_back_what_it_wrote(spark):
     staged = stage(spark.range(5).withColumn("d", F.lit("1.50").cast("decimal(20,2)")), "x")
     assert staged.count() == 5 and dict(staged.dtypes)["d"] == "decimal(20,2)"

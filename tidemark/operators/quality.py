@@ -72,18 +72,19 @@ class QualityFailure(ValueError):
 class DQSuite:
     """Collects rules per table and evaluates them together.
 
-    All row rules of a table become one aggregate over one scan; each key or relation rule is one
-    grouped count or one join. Nothing runs until the results are used.
+    All row rules given the same frame become one aggregate over one scan, whatever table each is
+    reported under; each key or relation rule is one grouped count or one join. Nothing runs until
+    the results are used.
     """
 
     spark: SparkSession
     layer: str
-    _rows: dict[tuple[str, int], tuple[DataFrame, list[Rule]]] = field(default_factory=dict)
+    _rows: dict[int, tuple[DataFrame, list[tuple[str, Rule]]]] = field(default_factory=dict)
     _single: list[tuple[str, DataFrame, Rule]] = field(default_factory=list)
 
     def row(self, table: str, df: DataFrame, *rules: Rule) -> DQSuite:
         """Rules whose values are aggregates over the rows of ``df``."""
-        self._rows.setdefault((table, id(df)), (df, []))[1].extend(rules)
+        self._rows.setdefault(id(df), (df, []))[1].extend((table, rule) for rule in rules)
         return self
 
     def relation(self, table: str, one_row: DataFrame, *rules: Rule) -> DQSuite:
@@ -127,16 +128,16 @@ class DQSuite:
     def results(self) -> DataFrame:
         """One row per rule, in the layout of ``RESULT_SCHEMA`` plus the time of the run."""
         frames = []
-        for (table, _), (df, rules) in self._rows.items():
+        for df, rules in self._rows.values():
             columns = []
-            for i, r in enumerate(rules):
+            for i, (_, r) in enumerate(rules):
                 columns.append(r.value.alias(f"v{i}"))
                 if r.shown is not None:
                     columns.append(r.shown.alias(f"s{i}"))
             measured = df.agg(*columns)
             records = [
                 self._record(table, r, F.col(f"v{i}"), F.col(f"s{i}" if r.shown is not None else f"v{i}"))
-                for i, r in enumerate(rules)
+                for i, (table, r) in enumerate(rules)
             ]
             frames.append(measured.select(F.inline(F.array(*records))))
         for table, one_row, rule in self._single:

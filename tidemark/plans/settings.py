@@ -56,3 +56,4 @@ class Settings:
     outlier_times: float = 5
     outlier_floor: float = 50_000_000
     max_unknown_share_pct: float = 5
+    buckets: int = 0  # above 0, silver flows and the bridge are bucketed by company into this many files

@@ -39,17 +39,30 @@ class TableStore:
     def read(self, layer: str, table: str) -> DataFrame:
         return self.spark.table(self.name(layer, table))
 
-    def overwrite(self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    def overwrite(
+        self,
+        df: DataFrame,
+        layer: str,
+        table: str,
+        partition_by: Sequence[str] = (),
+        bucket_by: tuple[int, Sequence[str]] | None = None,
+    ) -> DataFrame:
         """Replace the table, schema included, and return it as stored.
 
         Partitioned writes are rebalanced on the partition columns first: adaptive execution then
-        splits a partition that outgrows a file and merges the ones that stay small.
+        splits a partition that outgrows a file and merges the ones that stay small. A bucketed table is
+        later grouped and windowed by its bucket columns without a shuffle; bucket only by keys whose
+        rows are bounded, since a bucket is read by one task.
         """
-        if partition_by:
+        if bucket_by:
+            df = df.repartition(bucket_by[0], *bucket_by[1])
+        elif partition_by:
             df = df.hint("rebalance", *partition_by)
         writer = df.write.format(self.format).mode("overwrite").option("overwriteSchema", "true")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
+        if bucket_by:
+            writer = writer.bucketBy(bucket_by[0], *bucket_by[1]).sortBy(*bucket_by[1])
         writer.saveAsTable(self.name(layer, table))
         return self.read(layer, table)
 
