@@ -35,7 +35,7 @@ def asof_join(
     An entity's rows are one window partition, bounded by its number of distinct times. That is
     little for months. For finer times give ``bucket`` (a ``date_trunc`` unit such as 'year'):
     the window then runs per entity and bucket, and only each bucket's last history row is
-    carried over to later buckets.
+    carried over to later buckets. Both inputs are then read twice: stage one that is costly to make.
     """
     by = list(by)
     payload = [c for c in left.columns if c not in by]
@@ -61,10 +61,9 @@ def asof_join(
         before = Window.partitionBy(*by).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
         carry = last_of.select(*part, F.last("__h", ignorenulls=True).over(before).alias("__c"))
         w = Window.partitionBy(*part).orderBy(*running).rowsBetween(Window.unboundedPreceding, 0)
-        inside = cut.withColumn("__h", F.last("__h", ignorenulls=True).over(w)).filter(F.col("__l").isNotNull()).alias("i")
-        same = [F.col(f"i.{k}").eqNullSafe(F.col(f"c.{k}")) for k in part]
-        joined = inside.join(carry.alias("c"), same, "left")
-        carried = joined.select(*[F.col(f"i.{k}").alias(k) for k in by], F.coalesce("i.__h", "c.__c").alias("__h"), F.col("i.__l").alias("__l"))
+        inside = cut.withColumn("__h", F.last("__h", ignorenulls=True).over(w)).filter(F.col("__l").isNotNull())
+        # rows without entity or time meet no carry, as they should: they have no history
+        carried = inside.join(carry, part, "left").withColumn("__h", F.coalesce("__h", "__c"))
 
     at, seen = F.col(f"__l.{left_time}"), F.col("__h.__t")
     kind = F.when(seen == at, EXACT).when(seen.isNotNull(), INHERITED).otherwise(MISSING)

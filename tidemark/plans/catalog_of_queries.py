@@ -4,6 +4,7 @@ from tidemark.plans import (  # noqa: F401
     q_aggregates,
     q_business,
     q_cleansing,
+    q_functions,
     q_joins,
     q_model,
     q_quality,

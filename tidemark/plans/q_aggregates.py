@@ -136,7 +136,7 @@ def a15_consolidate(t: Tables) -> DataFrame:
     return r.doubles(consolidate_subrows(t.lineitem, ["l_orderkey", "l_linenumber"], parts), *parts)
 
 
-_YEARLY = f"""WITH {r.FLOW}, u AS (SELECT year(mes_ref) AS ano, cod_produto, cod_empresa, CAST(SUM(vl_contribuicao) AS DECIMAL(18,2)) AS v
+_YEARLY = f"""WITH {r.FLOW}, u AS (SELECT year(mes_ref) AS ano, cod_produto, cod_empresa, CAST(SUM(vl_contribuicao) AS DECIMAL(19,2)) AS v
   FROM flow GROUP BY ALL HAVING SUM(vl_contribuicao) > 0)"""
 
 

@@ -11,6 +11,7 @@ from tidemark.operators.temporal import asof_join
 from tidemark.plans import analyses as an
 from tidemark.plans import roles as r
 from tidemark.plans.registry import Tables, query
+from tidemark.session import stage
 
 KEYS = ["cod_empresa", "mes_ref", "cod_produto"]
 
@@ -94,7 +95,7 @@ def j6_asof_bridge(t: Tables) -> DataFrame:
 @query(_BRIDGE)
 def j6_asof_bucketed(t: Tables) -> DataFrame:
     """The same, with each entity's time cut into years: for histories too long for one task."""
-    asked = r.customer_lines(t).select("cod_empresa", "mes_ref").distinct()
+    asked = stage(r.customer_lines(t).select("cod_empresa", "mes_ref").distinct(), "asked")
     return _month(asof_join(asked, r.group_history(t), ["cod_empresa"], "mes_ref", "mes_ref", ["cod_grupo"], bucket="year"))
 
 

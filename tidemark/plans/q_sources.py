@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import parse_decimal, row_hash
+from tidemark.operators.cleanse import union_all
 from tidemark.plans import roles as r
 from tidemark.plans.registry import Tables, query
 from tidemark.session import scratch_path
@@ -183,3 +184,65 @@ def s16_scalar_fetch(t: Tables) -> DataFrame:
     whole = t.orders.agg(F.sum(amount).alias("v")).first()["v"]
     per = t.orders.groupBy("o_orderstatus").agg(r.rows(), F.sum(amount).alias("total"))
     return r.doubles(per.filter(F.col("total") <= F.lit(whole)), "total")
+
+
+@query("SELECT 'clientes' AS tabela, COUNT(*) AS linhas FROM customer UNION ALL SELECT 'pedidos', COUNT(*) FROM orders")
+def s13_layers(t: Tables) -> DataFrame:
+    """One schema per layer; what each holds is found by listing it."""
+    store = _store(t, "layers")
+    store.create_layers(["silver", "gold"])
+    store.overwrite(t.customer.select("c_custkey"), "silver", "clientes")
+    store.overwrite(t.orders.select("o_orderkey"), "gold", "pedidos")
+    counts = []
+    for layer in ("silver", "gold"):
+        for row in store.list_tables(layer).collect():
+            counts.append(store.read(layer, row["tableName"]).agg(r.rows()).select(F.lit(row["tableName"]).alias("tabela"), "linhas"))
+    return union_all(counts)
+
+
+@query("SELECT c_mktsegment, COUNT(*) AS linhas FROM customer GROUP BY ALL")
+def s14_rebuild(t: Tables) -> DataFrame:
+    """Built twice from scratch: dropping first makes the second build as good as the first."""
+    store = _store(t, "rebuild")
+    for _ in range(2):
+        store.drop("silver", ["clientes"])
+        stored = store.overwrite(t.customer.select("c_mktsegment"), "silver", "clientes")
+    return stored.groupBy("c_mktsegment").agg(r.rows())
+
+
+_TYPES = {"o_orderkey": "bigint", "o_orderpriority": "string", "o_orderstatus": "string"}
+
+
+@query(" UNION ALL ".join(f"SELECT '{c}' AS coluna, '{k}' AS tipo, COUNT(DISTINCT {c}) AS distintos FROM orders" for c, k in _TYPES.items()))
+def s15_describe(t: Tables) -> DataFrame:
+    """The stored schema, with the distinct values behind each column."""
+    store = _store(t, "describe")
+    stored = store.overwrite(t.orders.select(*_TYPES), "silver", "pedidos")
+    listed = store.describe("silver", "pedidos").filter(F.col("col_name").isin(list(_TYPES)))
+    cells = F.array(*[F.struct(F.lit(c).alias("coluna"), F.col(c).cast("string").alias("v")) for c in _TYPES])
+    found = stored.select(F.inline(cells)).distinct().groupBy("coluna").agg(r.rows("distintos"))
+    return listed.select(F.col("col_name").alias("coluna"), F.col("data_type").alias("tipo")).join(found, "coluna")
+
+
+@query("SELECT 'Pedidos. Origem: orders' AS comentario, COUNT(*) AS linhas FROM orders")
+def s18_table_comment(t: Tables) -> DataFrame:
+    store = _store(t, "comment")
+    stored = store.overwrite(t.orders.select("o_orderkey"), "silver", "pedidos")
+    store.comment_table("silver", "pedidos", "Pedidos. Origem: orders")
+    text = store.describe("silver", "pedidos").filter("col_name = 'Comment'").select("data_type").first()[0]
+    return stored.agg(r.rows()).withColumn("comentario", F.lit(text))
+
+
+_TEXTS = {"o_orderkey": "Chave do pedido.", "o_orderstatus": "Situação: 'F', 'O' ou 'P'."}
+
+
+@query(" UNION ALL ".join(
+    "SELECT '{}' AS coluna, '{}' AS comentario, COUNT({}) AS preenchidas FROM orders".format(c, x.replace("'", "''"), c) for c, x in _TEXTS.items()))
+def s19_column_comment(t: Tables) -> DataFrame:
+    store = _store(t, "comments")
+    stored = store.overwrite(t.orders.select(*_TEXTS), "silver", "pedidos")
+    store.comment_columns("silver", "pedidos", _TEXTS)
+    listed = store.describe("silver", "pedidos").filter(F.col("col_name").isin(list(_TEXTS)))
+    filled = stored.agg(*[F.count(c).alias(c) for c in _TEXTS])
+    cells = F.array(*[F.struct(F.lit(c).alias("coluna"), F.col(c).alias("preenchidas")) for c in _TEXTS])
+    return listed.select(F.col("col_name").alias("coluna"), F.col("comment").alias("comentario")).join(filled.select(F.inline(cells)), "coluna")
