@@ -50,7 +50,7 @@ def write_raw_files(folder: str) -> Expected:
             f.write(text.encode("windows-1252"))
 
     # companies: padded codes, curly quotes, two of one name, empty group columns
-    names = ["ALFA SEGUROS S.A.", "BETA PREVIDÊNCIA", "GAMA – “em aprovação”", "DELTA VIDA", "DELTA VIDA"]
+    names = ["ALFA SEGUROS S.A.", "BETA UNIÃO", "GAMA – “em aprovação”", "DELTA VIDA", "DELTA VIDA"]
     save("Companies.csv", ["Coenti", "Noenti", "Cogrupo", "Nogrupo"], [[f"{c}   ", n, "", " "] for c, n in zip(COMPANIES, names, strict=True)])
 
     # group history: 00001 changes group, 00002 has a gap, 00003 has none, 00004/5 are generic

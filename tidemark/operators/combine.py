@@ -70,7 +70,9 @@ def reconcile(
     right = b.select(*keys, F.col(value).alias("vl_fonte_b"))
     seen_a, seen_b = F.coalesce("vl_fonte_a", F.lit(0)), F.coalesce("vl_fonte_b", F.lit(0))
     joined = left.join(right, list(keys), "full_outer").withColumn("vl_diferenca", seen_a - seen_b)
-    relative = F.abs(F.col("vl_diferenca")).cast("double") / F.greatest(F.abs(seen_a).cast("double"), F.lit(float(floor)))
+    # decimal division, so that the fraction is rounded to six places before it is banded
+    over = F.greatest(F.abs(seen_a), F.lit(floor)).cast("decimal(20,2)")
+    relative = (F.abs(F.col("vl_diferenca")).cast("decimal(32,2)") / over).cast("decimal(38,6)")
     one_sided = F.when(F.col("vl_fonte_b").isNull(), "SO_FONTE_A").when(F.col("vl_fonte_a").isNull(), "SO_FONTE_B")
     return joined.withColumn("pc_diferenca", relative).withColumn(
         "classe_conciliacao", F.coalesce(one_sided, band("pc_diferenca", bands, labels))

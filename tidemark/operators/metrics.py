@@ -119,11 +119,11 @@ def continuity_test(
     return tested.withColumn("status", F.when(F.col("variacao_abs") <= F.col("limite"), "OK").otherwise("ALERTA"))
 
 
-def symmetry_test(df: DataFrame, period: Column, inflow: str, outflow: str, name: str = "ano") -> DataFrame:
-    """Difference of the two directions per period, in percent of the outflow."""
+def symmetry_test(df: DataFrame, period: Column, inflow: str, outflow: str, name: str = "ano", digits: int = 2) -> DataFrame:
+    """Difference of the two directions per period, in percent of the outflow, rounded before anyone judges it."""
     yearly = df.groupBy(period.alias(name)).agg(F.sum(inflow).alias("entrada"), F.sum(outflow).alias("saida"))
     gap = (F.col("entrada") - F.col("saida")).cast("double")
-    return yearly.withColumn("dif_pct", F.try_divide(100 * gap, F.col("saida").cast("double")))
+    return yearly.withColumn("dif_pct", F.round(F.try_divide(100 * gap, F.col("saida").cast("double")), digits))
 
 
 def worst_asymmetry(symmetry: DataFrame, periods: Column, limit: float = 15) -> DataFrame:

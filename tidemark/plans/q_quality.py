@@ -279,7 +279,7 @@ def d16_continuity(t: Tables) -> DataFrame:
 
 
 _SYM = f"""WITH {r.FLOW}, s AS (SELECT CAST(year(mes_ref) AS INTEGER) AS ano, SUM(vl_portab_aceita) AS e, SUM(vl_portab_cedida) AS x FROM flow GROUP BY 1),
-d AS (SELECT ano, CAST(e AS DOUBLE) AS entrada, CAST(x AS DOUBLE) AS saida, 100 * CAST(e - x AS DOUBLE) / CAST(x AS DOUBLE) AS dif_pct FROM s)"""
+d AS (SELECT ano, CAST(e AS DOUBLE) AS entrada, CAST(x AS DOUBLE) AS saida, round(100 * CAST(e - x AS DOUBLE) / CAST(x AS DOUBLE), 2) AS dif_pct FROM s)"""
 
 
 @query(f"{_SYM} SELECT * FROM d")
@@ -307,7 +307,7 @@ _RECON = """WITH a AS (SELECT o_orderkey AS k, o_orderpriority AS p, CAST(o_tota
 b AS (SELECT l_orderkey AS k, CAST(SUM(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) * (1 + CAST(l_tax AS DECIMAL(4,2)))) AS DECIMAL(20,2)) AS b
   FROM lineitem GROUP BY 1),
 j AS (SELECT COALESCE(a.k, b.k) AS k, a, b, COALESCE(a, 0) - COALESCE(b, 0) AS d FROM a FULL OUTER JOIN b ON a.k = b.k),
-x AS (SELECT *, CAST(abs(d) AS DOUBLE) / greatest(CAST(abs(COALESCE(a, 0)) AS DOUBLE), 1) AS pc FROM j),
+x AS (SELECT *, round(CAST(abs(d) AS DOUBLE) / greatest(CAST(abs(COALESCE(a, 0)) AS DOUBLE), 1), 6) AS pc FROM j),
 c AS (SELECT k, a, b, d, pc, CASE WHEN b IS NULL THEN 'SO_FONTE_A' WHEN a IS NULL THEN 'SO_FONTE_B' WHEN pc <= 0.001 THEN 'ATE_0,1%'
   WHEN pc <= 0.01 THEN 'ATE_1%' WHEN pc <= 0.05 THEN 'ATE_5%' ELSE 'ACIMA_5%' END AS classe FROM x)"""
 
@@ -325,7 +325,7 @@ def _reconciled(t: Tables) -> DataFrame:
 @query(f"""{_RECON} SELECT k AS chave, CAST(a AS DOUBLE) AS vl_fonte_a, CAST(b AS DOUBLE) AS vl_fonte_b, CAST(d AS DOUBLE) AS vl_diferenca,
   pc AS pc_diferenca, classe AS classe_conciliacao FROM c""")
 def d19_reconcile(t: Tables) -> DataFrame:
-    return r.doubles(_reconciled(t), "vl_fonte_a", "vl_fonte_b", "vl_diferenca")
+    return r.doubles(_reconciled(t), "vl_fonte_a", "vl_fonte_b", "vl_diferenca", "pc_diferenca")
 
 
 @query(f"""{_RECON} SELECT classe AS classe_conciliacao, COUNT(*) AS linhas, round(100.0 * COUNT(*) / SUM(COUNT(*)) OVER (), 1) AS pct FROM c GROUP BY classe""")
