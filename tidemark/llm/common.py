@@ -28,21 +28,21 @@ def sample_of(df: DataFrame, key: str, rows: int) -> DataFrame:
     return df.orderBy(F.xxhash64(F.col(key), F.lit(17)), F.col(key)).limit(rows)
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, id_col: str = "doc_id", text_col: str = "text", rows: int = 6000) -> DataFrame:
-    """Training rows (id, text, y) outside the held-out fold.
+def labelled(docs: DataFrame, labels: DataFrame, label: str, id_col: str, columns: dict[str, Column], rows: int) -> DataFrame:
+    """Training rows (y and ``columns`` of ``docs``) outside the held-out fold.
 
-    The sample is drawn from ``labels`` alone, so that no text is sorted: at most ``rows`` rows. A row whose
-    id, text or label is null is no example; an id with several labels counts with its largest.
+    The sample is drawn from the labels' ids alone, so that no text is sorted: at most ``rows`` ids. A row
+    whose id or label is null is no example; an id with several labels counts with its largest.
     """
     marks = (
-        labels.select(F.col(id_col).alias("_id"), F.col(label).cast("int").alias("_y"))
-        .where(F.col("_y").isNotNull() & F.col("_id").isNotNull() & (fold("_id") != 0))
+        labels.select(F.col(id_col).alias("_id"), F.col(label).cast("int").alias("y"))
+        .where(F.col("y").isNotNull() & F.col("_id").isNotNull() & (fold("_id") != 0))
         .groupBy("_id")
-        .agg(F.max("_y").alias("y"))
+        .agg(F.max("y").alias("y"))
     )
     marks = sample_of(marks, "_id", rows)
-    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).where(F.col("text").isNotNull())
-    return texts.join(F.broadcast(marks), "_id").select(F.col("_id").alias("id"), "text", "y")
+    texts = docs.select(F.col(id_col).alias("_id"), *[c.alias(k) for k, c in columns.items()])
+    return texts.join(F.broadcast(marks), "_id").select("y", *columns)
 
 
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | Iterable[pa.RecordBatch]], schema: str) -> DataFrame:

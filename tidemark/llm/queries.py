@@ -5,9 +5,28 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.llm import language_id, quality_model, toxicity
 from tidemark.llm.common import table
+from tidemark.llm.decontaminate import contaminated
+from tidemark.llm.licenses import scan_licenses
 from tidemark.llm.near_dedup import near_duplicates
+from tidemark.llm.packing import pack
+from tidemark.llm.pii import replace_personal_data
+from tidemark.llm.quality_rules import apply_rules
+from tidemark.llm.secrets import find_secrets
+
+#: The vocabulary that op5 packs by, as its public package names it.
+TOKENIZER = "word_bpe_49k.json"
+#: The key of the pseudonyms; a deployment passes its own.
+PSEUDONYM_KEY = "an example key"
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def op1_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -15,5 +34,84 @@ def op1_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), shingle=4, percent=80)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_near_dedup,)}
+def op2_quality_model(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality_model.score_quality(docs, quality_model.train(docs, table(spark, folder, "labels")), threshold=0.3)
+
+
+def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of a document and a benchmark item that it leaks."""
+    return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.score_toxicity(docs, toxicity.train(docs, table(spark, folder, "labels")), threshold=0.5)
+
+
+def op5_pack(spark: SparkSession, folder: str) -> DataFrame:
+    return pack(table(spark, folder, "documents"), tokenizer_path(), capacity=4096, end_id=1)
+
+
+def op6_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return language_id.identify(docs, language_id.train(docs))
+
+
+def op7_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_licenses(table(spark, folder, "documents"))
+
+
+def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts with pseudonyms, for the documents that hold personal data; the other texts are as they were."""
+    return replace_personal_data(table(spark, folder, "documents"), PSEUDONYM_KEY)
+
+
+def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return find_secrets(table(spark, folder, "documents"))
+
+
+def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return apply_rules(table(spark, folder, "documents"))
+
+
+_OPERATORS = (
+    op1_near_dedup,
+    op2_quality_model,
+    op3_decontaminate,
+    op4_toxicity,
+    op5_pack,
+    op6_language,
+    op7_licenses,
+    op8_pii,
+    op9_secrets,
+    op10_quality_rules,
+)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _OPERATORS}
+
+#: Where SQL can express the whole result; the others are tested against brute force.
 ORACLE: dict[str, str] = {}
+
+
+# Stages of corpus_pipeline.py: documents in, documents out, but for the last.
+
+
+def keep_known_language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents whose language is known: neither without letters nor of a score below one third."""
+    model = language_id.train(docs)
+    tagged = docs.withColumn("_row", F.monotonically_increasing_id())
+    known = language_id.identify(tagged, model, id_col="_row").where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= 1 / 3))
+    return tagged.join(known.select("_row"), "_row", "left_semi").drop("_row")
+
+
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Of every group of near-duplicates the document with the smallest id."""
+    groups = near_duplicates(docs, shingle=5, percent=80)
+    gone = groups.where(~F.col("kept")).select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents that leak no benchmark item."""
+    leaks = contaminated(docs, table(spark, folder, "benchmark")).select("doc_id").distinct()
+    return docs.join(leaks, "doc_id", "left_anti").select(docs.columns)
