@@ -176,7 +176,7 @@ class ToxicityModel:
 def learn_lexicon(sample: DataFrame, positives: int, negatives: int, most: int = 2000) -> Lexicon:
     """Stems of a labelled sample (y, text) whose document counts differ beyond chance; at most ``most``.
 
-    A stem must occur in at least four toxic texts, eight times as often there as elsewhere, with a
+    A stem must occur in at least four toxic texts, eight times as often there as elsewhere (smoothed), with a
     log-likelihood ratio above 18. Of stems that contain one another the best stays, the longer one in a tie.
     """
 
@@ -190,8 +190,9 @@ def learn_lexicon(sample: DataFrame, positives: int, negatives: int, most: int =
 
     counted = map_arrow(sample.select("y", "text"), of, "stem string, toxic long, clean long").groupBy("stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     p, n = float(max(positives, 1)), float(max(negatives, 1))
-    rate = (F.col("toxic") + 0.5) / (p + 1)
-    other = (F.col("clean") + 0.5) / (n + 1)
+    # five texts of each kind stand behind every stem, so that a rare one is never a strong one
+    rate = (F.col("toxic") + 5) / (p + 5)
+    other = (F.col("clean") + 5) / (n + 5)
     total = F.col("toxic") + F.col("clean")
     expected = total * F.lit(p / (p + n))
     ratio = 2 * (F.col("toxic") * F.log(F.col("toxic") / expected) + F.when(F.col("clean") > 0, F.col("clean") * F.log(F.col("clean") / (total - expected))).otherwise(0.0))
@@ -203,13 +204,13 @@ def learn_lexicon(sample: DataFrame, positives: int, negatives: int, most: int =
         text = r.stem.rstrip("$")
         if any((text.startswith(t) and not w) or t.startswith(text) for t, w, _ in chosen):
             continue
-        chosen.append((text, whole, min(3.0, float(np.log(r.odds)) / 2)))
+        chosen.append((text, whole, min(3.0, float(np.log(r.odds)) - 1.9)))
         if len(chosen) == most:
             break
     return Lexicon(chosen)
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.02, steps: int = 60) -> tuple[float, np.ndarray]:
+def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.002, steps: int = 60) -> tuple[float, np.ndarray]:
     """Newton steps on the ridge logistic loss; weights below zero are set to zero at the end."""
     theta = np.zeros(x.shape[1] + 1)
     full = np.c_[np.ones(len(x)), x]
@@ -226,7 +227,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.02, steps: int = 60
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", rows: int = 6000) -> ToxicityModel:
     """Learn stems and event weights from at most ``rows`` labelled rows outside the held-out fold."""
-    sample = labelled(docs, labels, label, id_col, {"text": F.col(text_col)}, rows).where("text is not null")
+    sample = labelled(docs, labels, label, id_col, {"text": F.col(text_col)}, rows).where("text is not null").dropDuplicates(["text"])
     counts = {r["y"]: r["n"] for r in sample.groupBy((F.col("y") > 0).alias("y")).agg(F.count("*").alias("n")).collect()}
     lexicon = learn_lexicon(sample, counts.get(True, 0), counts.get(False, 0))
     blank = ToxicityModel(lexicon, 0.0, np.zeros(len(EVENTS) + 1))
@@ -240,6 +241,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str
         return ToxicityModel(lexicon, -4.0, np.ones(len(EVENTS) + 1))
     y = np.array([float(r.y > 0) for r in got])
     bias, weights = _logistic(np.log1p(np.array([r.x for r in got])), y)
+    for what in HITS:  # an insult aimed at someone is no weaker than one at large
+        plain_at, aimed = EVENTS.index(f"{what}_plain"), EVENTS.index(f"{what}_directed")
+        weights[aimed] = max(weights[aimed], weights[plain_at])
     # an event that the sample hardly shows keeps the weight of the plain insult, halved if negated or reported
     shown = (np.array([r.x for r in got]) > 0).sum(axis=0)
     plain = max(float(weights[0]), 1.0)
