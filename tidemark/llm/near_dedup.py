@@ -9,8 +9,10 @@ collection. 32 minhash values thus serve 64 tables of four values each. Two sets
 
 Equal sets are one node. Tables whose buckets hold the same nodes are looked at once. Inside a bucket, nodes
 are dealt to blocks of bounded size, anew in each round, and every node proposes the partners in its block
-that are not yet in its component and agree with it on at least half of the minhash values (a pair of
-similarity 0.8 does so but for one case in ten thousand), best first; later rounds take more, the last all.
+that are not yet in its component, agree with it on at least half of the minhash values and on 0.66 of a second
+sketch (a pair of similarity 0.8 does so but for a few cases in ten thousand), best first; later rounds take
+more, the last all. A pair is proposed in the first table that it shares, not in all of them, leaving
+aside tables whose bucket takes several blocks.
 Proposals are confirmed on the full sets, and confirmed links are contracted to components before the next
 round. A giant group of near copies so collapses in linear work, without all of its pairs, and no bucket
 is gathered in one task.
@@ -36,6 +38,10 @@ _STEP = np.arange(1, VALUES + 1, dtype=np.uint64)
 _FACTORS = mix(_STEP * np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1)
 _MASKS = mix(_STEP * np.uint64(0xA0761D6478BD642F))
 
+#: One more sketch, for proposals: the least hash of each of so many ranges of hashes, by one byte; 0 where a range is empty.
+RANGES = 128
+_EDGES = (np.arange(RANGES + 1, dtype=np.uint64) << np.uint64(57)).astype(np.uint64)
+
 #: Partners a node proposes per bucket and round; 0 takes all.
 ROUNDS = (3, 24, 192, 0)
 
@@ -67,7 +73,10 @@ def minhashes(values: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """Per row: id, set size, a hash of the set, both key collections, one byte of every minhash value."""
+    """Per row: id, set size, a hash of the set, both key collections, and a sketch.
+
+    The sketch holds one byte of every minhash value, ``RANGES`` bytes of least hashes, and 32 bits of every key.
+    """
 
     def of(batch: pa.RecordBatch) -> pa.RecordBatch:
         counts, names, keys, sketches = [], [], [], []
@@ -80,7 +89,10 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, size: int) -> Data
             names.append(int(mix(np.bitwise_xor.reduce(mix(values + np.uint64(1)), keepdims=True) + values[:1] + np.uint64(len(values)))[0].view(np.int64)))
             pairs = mix(mix(least[0::2] + _STEP[: 2 * PIECES] * np.uint64(0x2545F4914F6CDD1D)) + least[1::2])
             keys.append(pairs.view(np.int64))
-            sketches.append(least.astype(np.uint8).tobytes())
+            at = np.searchsorted(values, _EDGES[:RANGES])
+            ends = np.r_[at[1:], len(values)]
+            ranges = np.where(at < ends, values[np.minimum(at, len(values) - 1)] % np.uint64(255) + np.uint64(1), 0)
+            sketches.append(least.astype(np.uint8).tobytes() + ranges.astype(np.uint8).tobytes() + pairs.astype(np.uint32).tobytes())
         return pa.record_batch(
             [batch.column(0), pa.array(counts, pa.int64()), pa.array(names, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
             names=["id", "n_shingles", "set_id", "keys", "sketch"],
@@ -97,32 +109,63 @@ def _agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return total
 
 
-def _proposals(ids: np.ndarray, comps: np.ndarray, sketch: np.ndarray, most: int, least: int) -> tuple[np.ndarray, np.ndarray, bool]:
-    """Pairs of a block: each row with its best partners of other components, and whether any were left out."""
-    agree = _agreement(sketch, sketch)
-    open_ = (agree >= least) & (comps[:, None] != comps[None, :]) & (ids[:, None] != ids[None, :])
-    if not most or len(ids) <= most:
-        i, j = np.nonzero(np.triu(open_))
+def _alike(sketch: np.ndarray, i: np.ndarray, j: np.ndarray, least: float) -> np.ndarray:
+    """Whether the least hashes of the ranges agree on about ``least`` of those that either set fills."""
+    own = sketch[:, VALUES : VALUES + RANGES]
+    good = np.zeros(len(i), bool)
+    for lo in range(0, len(i), 1 << 14):
+        a, b = own[i[lo : lo + (1 << 14)]], own[j[lo : lo + (1 << 14)]]
+        good[lo : lo + (1 << 14)] = ((a == b) & (a > 0)).sum(axis=1) >= least * ((a > 0) | (b > 0)).sum(axis=1)
+    return good
+
+
+def _here(sketch: np.ndarray, i: np.ndarray, j: np.ndarray, crowded: np.ndarray, table: int, oversize: bool) -> np.ndarray:
+    """Whether this table is the one to propose a pair: the first not crowded one that it shares, or a crowded one if there is no other."""
+    keys = np.ascontiguousarray(sketch[:, VALUES + RANGES :]).view(np.uint32)
+    good = np.zeros(len(i), bool)
+    for lo in range(0, len(i), 1 << 14):
+        x, y = i[lo : lo + (1 << 14)], j[lo : lo + (1 << 14)]
+        same = keys[x] == keys[y]
+        shared = (same[:, :PIECES, None] & same[:, None, PIECES:]).reshape(len(x), -1)
+        shared &= (crowded[x][:, None] >> np.arange(PIECES * PIECES, dtype=np.uint64)) & np.uint64(1) == 0
+        good[lo : lo + (1 << 14)] = ~shared.any(axis=1) if oversize else shared.any(axis=1) & (shared.argmax(axis=1) == table)
+    return good
+
+
+def _proposals(ids: np.ndarray, comps: np.ndarray, crowded: np.ndarray, sketch: np.ndarray, table: int, oversize: bool, most: int) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Pairs of a block: nodes with their best partners of other components, and whether any were left out."""
+    agree = _agreement(sketch[:, :VALUES], sketch[:, :VALUES])
+    i, j = np.nonzero(np.triu((agree >= VALUES // 2) & (comps[:, None] != comps[None, :]) & (ids[:, None] != ids[None, :])))
+    good = _alike(sketch, i, j, 0.66)
+    i, j = i[good], j[good]
+    good = _here(sketch, i, j, crowded, table, oversize)
+    i, j = i[good], j[good]
+    if not most or not len(i):
         return i, j, False
-    agree = np.where(open_, agree, 0)
-    best = np.argpartition(-agree.astype(np.int16), most - 1, axis=1)[:, :most]
-    i = np.repeat(np.arange(len(ids)), most)
-    j = best.ravel()
-    good = agree[i, j] > 0
-    return i[good], j[good], bool((open_.sum(axis=1) > most).any())
-
-
-def _block_pairs(members: DataFrame, most: int, least: int) -> DataFrame:
+    # the nodes of the largest component wait for proposals
+    names, sizes = np.unique(comps, return_counts=True)
+    asks = comps != names[sizes.argmax()] if sizes.max() > 1 else np.ones(len(ids), bool)
+    who, pair = np.r_[i, j], np.r_[np.arange(len(i)), np.arange(len(i))]
+    keep = asks[who]
+    who, pair = who[keep], pair[keep]
+    order = np.lexsort((-agree[i[pair], j[pair]].astype(np.int16), who))
+    who, pair = who[order], pair[order]
+    rank = np.arange(len(who)) - np.searchsorted(who, who)
+    chosen = np.unique(pair[rank < most])
+    return i[chosen], j[chosen], bool((rank >= most).any())
+
+
+def _block_pairs(members: DataFrame, most: int, block_size: int) -> DataFrame:
     """Proposals of every (key, block), read in sorted order so that no block meets another."""
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[np.ndarray] = []
 
-        def pairs(key, block, ids, comps, sketch):
+        def pairs(key, block, ids, comps, table, n, crowded, sketch):
             edges = np.flatnonzero((key[1:] != key[:-1]) | (block[1:] != block[:-1])) + 1
             for lo, hi in zip(np.r_[0, edges], np.r_[edges, len(key)], strict=True):
                 if hi - lo > 1 and (comps[lo:hi] != comps[lo]).any():
-                    i, j, more = _proposals(ids[lo:hi], comps[lo:hi], sketch[lo:hi], most, least)
+                    i, j, more = _proposals(ids[lo:hi], comps[lo:hi], crowded[lo:hi].view(np.uint64), sketch[lo:hi], int(table[lo]), bool(n[lo] > block_size), most)
                     a, b = ids[lo:hi][i], ids[lo:hi][j]
                     yield np.minimum(a, b), np.maximum(a, b), np.full(len(i), more)
 
@@ -135,8 +178,8 @@ def _block_pairs(members: DataFrame, most: int, least: int) -> DataFrame:
             n = len(batch)
             if not n:
                 continue
-            sketch = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint8).reshape(n, -1)
-            now = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(4)] + [sketch]
+            sketch = np.frombuffer(b"".join(batch.column(7).to_pylist()), np.uint8).reshape(n, -1)
+            now = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(7)] + [sketch]
             now = [np.concatenate(x) for x in zip(kept, now, strict=True)] if kept else now
             key, block = now[0], now[1]
             cut = int(np.flatnonzero((key != key[-1]) | (block != block[-1]))[-1]) + 1 if (key[0] != key[-1] or block[0] != block[-1]) else 0
@@ -146,7 +189,7 @@ def _block_pairs(members: DataFrame, most: int, least: int) -> DataFrame:
         if kept:
             yield batch_of(pairs(*kept))
 
-    dealt = members.select("key", "block", "id", "component", "sketch").repartition("key", "block").sortWithinPartitions("key", "block")
+    dealt = members.select("key", "block", "id", "component", "table", "n", "crowded", "sketch").repartition("key", "block").sortWithinPartitions("key", "block")
     return dealt.mapInArrow(over, "a long, b long, more boolean").groupBy("a", "b").agg(F.max("more").alias("more"))
 
 
@@ -178,11 +221,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = stage(nodes, "nodes")
 
     half = F.slice("keys", 1, PIECES), F.slice("keys", PIECES + 1, PIECES)
-    tabled = nodes.select("id", F.explode(half[0]).alias("x"), half[1].alias("ys")).select("id", "x", F.explode("ys").alias("y")).select("id", F.xxhash64("x", "y").alias("key"))
-    buckets = tabled.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("held")).where("n > 1")
-    buckets = buckets.groupBy("n", "held").agg(F.min("key").alias("key"))
-    members = tabled.join(buckets.select("key", "n"), "key")
-    members = stage(members.join(nodes.select("id", "sketch"), "id"), "members")
+    tabled = nodes.select("id", F.posexplode(half[0]).alias("i", "x"), half[1].alias("ys")).select("id", "i", "x", F.posexplode("ys").alias("j", "y"))
+    tabled = tabled.select("id", (PIECES * F.col("i") + F.col("j")).alias("table"), F.xxhash64("x", "y").alias("key"))
+    buckets = tabled.groupBy("key").agg(F.count("*").alias("n"), F.min("table").alias("table"), F.bit_xor(F.xxhash64("id")).alias("held")).where("n > 1")
+    first_of = buckets.groupBy("n", "held").agg(F.min_by("key", "table").alias("key"))
+    crowds = tabled.join(buckets.where(F.col("n") > block).select("key"), "key").groupBy("id").agg(F.bit_or(F.expr("shiftleft(1L, table)")).alias("crowded"))
+    members = tabled.join(first_of.select("key", "n"), "key").join(nodes.select("id", "sketch"), "id")
+    members = members.join(crowds, "id", "left").withColumn("crowded", F.coalesce("crowded", F.lit(0).cast("long")))
+    members = stage(members, "members")
     near = members.select("id").distinct()
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("text is not null")
     texts = stage(texts.join(near, "id").dropDuplicates(["id"]), "texts")
@@ -197,7 +243,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             open_ = open_.join(split, "key", "left_semi")
         blocks = F.ceil(F.col("n") / F.lit(block))
         open_ = open_.withColumn("block", F.when(blocks > 1, F.pmod(F.xxhash64("id", F.lit(turn)), blocks)).otherwise(0).cast("int"))
-        pairs = _block_pairs(open_, most, VALUES // 2)
+        pairs = _block_pairs(open_, most, block)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stage(pairs, "pairs")
