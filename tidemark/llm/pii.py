@@ -162,7 +162,7 @@ DETECTORS: tuple[tuple[str, re.Pattern, Callable[[re.Match, bytes], str | None]]
     ("date", re.compile(r"(?<![\d/.-])(\d{4}|\d{2})([-/.])(\d{2})\2(\d{4}|\d{2})(?![\d/-]|\.\d)", re.ASCII), _date),
     ("social", re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])", re.ASCII), _social),
     ("card", re.compile(r"(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d-]*\d)", re.ASCII), _card),
-    ("phone", re.compile(r"(?<![\d+])(?P<cc>\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\) ?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?![\d-]*\d)", re.ASCII), _phone),
+    ("phone", re.compile(r"(?<![\d+])(?<!\d[ .-])(?P<cc>\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\) ?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?![ .-]?\d)", re.ASCII), _phone),
 )
 KINDS = tuple(k for k, _, _ in DETECTORS)
 

@@ -148,14 +148,15 @@ class FactorisationMachine:
         return 1 / (1 + np.exp(-np.clip(self.margins(*sparse), -30, 30)))
 
 
-def fit(documents: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, rank: int = 6, epochs: int = 8, batch: int = 64, rate: float = 0.02, decay: float = 1e-4, seed: int = 7) -> FactorisationMachine:
-    """Adam on the logistic loss. ``documents``: (features, values) per row."""
+def fit(documents: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, rank: int = 6, epochs: int = 8, least_steps: int = 500, batch: int = 64, rate: float = 0.02, decay: float = 1e-4, seed: int = 7) -> FactorisationMachine:
+    """Adam on the logistic loss, ``epochs`` times over the rows or more, so that few rows give ``least_steps``. ``documents``: (features, values) per row."""
     rng = np.random.default_rng(seed)
     prior = float(np.clip(labels.mean() if len(labels) else 0.5, 0.01, 0.99))
-    # the last row of the table holds the linear weights' companions: column 0 is w, the others v
+    # column 0 holds w, the others v
     theta = np.c_[np.zeros(SIZE), rng.normal(0, 0.05, (SIZE, rank))]
     bias = np.log(prior / (1 - prior))
     m, s, steps = np.zeros_like(theta), np.zeros_like(theta), 0
+    epochs = max(epochs, -(-least_steps * batch // max(len(documents), 1)))
     for _ in range(epochs if len(set(labels.tolist())) > 1 else 0):
         order = rng.permutation(len(documents))
         for lo in range(0, len(order), batch):
