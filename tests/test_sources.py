@@ -120,3 +120,15 @@ assert shared_folder(spark) == "{tmp_path}", shared_folder(spark)
 assert stage(spark.range(1)).inputFiles()[0].startswith("file://{tmp_path}/stage-")
 """
     subprocess.run([sys.executable, "-c", code], check=True, timeout=120, cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def test_read_raw_goes_by_the_header(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("damesano;coenti;NEWCOL;tipoProd;contrib\n202601;00001;zz;VGBL;1,5\n", encoding="cp1252")
+    df = read_raw(spark, str(tmp_path / "x.csv"), expected=["Coenti", "TipoProd", "Damesano", "Contrib"])
+    row = df.first()
+    assert (row["coenti"], row["damesano"], row["tipoProd"], row["contrib"], row["NEWCOL"]) == ("00001", "202601", "VGBL", "1,5", "zz")
+    with pytest.raises(ValueError, match="Benef"):
+        read_raw(spark, str(tmp_path / "x.csv"), expected=["Coenti", "Benef"])
+    (tmp_path / "y.csv").write_text("coenti;damesano;NEWCOL;tipoProd;contrib\n00002;202601;zz;VGBL;2\n", encoding="cp1252")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_raw(spark, [str(tmp_path / "x.csv"), str(tmp_path / "y.csv")]).collect()

@@ -412,7 +412,7 @@ def d28_changes(t: Tables) -> DataFrame:
 def d29_load_completeness(t: Tables) -> DataFrame:
     extract = r.raw_lines(t)
     path = _written(extract, "lines")
-    counted = load_completeness(t.spark, path, read_raw(t.spark, path, extract.columns))
+    counted = load_completeness(t.spark, path, read_raw(t.spark, path, expected=extract.columns))
     return counted.groupBy("status").agg(F.sum("linhas_no_arquivo").alias("linhas_no_arquivo"), F.sum("linhas_na_tabela").alias("linhas_na_tabela"))
 
 

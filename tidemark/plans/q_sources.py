@@ -43,7 +43,7 @@ def _written(df: DataFrame, label: str, encoding: str = "ISO-8859-1") -> str:
 
 def _raw(t: Tables) -> DataFrame:
     path = _written(_extract(t), "extract")
-    return read_raw(t.spark, path, COLUMNS, snapshot_date="2026-01-31", max_month="202601")
+    return read_raw(t.spark, path, expected=COLUMNS, snapshot_date="2026-01-31", max_month="202601")
 
 
 _EXTRACT = """extract AS (SELECT rpad(CAST(o_custkey AS VARCHAR), 12, ' ') AS coenti, strftime(o_orderdate, '%Y%m') AS damesano,
@@ -128,7 +128,7 @@ def s7_table_scan(t: Tables) -> DataFrame:
 @query("SELECT COUNT(*) AS linhas_no_arquivo, COUNT(*) AS linhas_na_tabela, CAST(0 AS BIGINT) AS divergentes FROM orders")
 def s8_line_completeness(t: Tables) -> DataFrame:
     path = _written(_extract(t), "extract")
-    counted = load_completeness(t.spark, path, read_raw(t.spark, path, COLUMNS))
+    counted = load_completeness(t.spark, path, read_raw(t.spark, path, expected=COLUMNS))
     sides = ["linhas_no_arquivo", "linhas_na_tabela"]
     return counted.agg(*[F.sum(s).alias(s) for s in sides], F.count(F.when(F.col("status") != "OK", 1)).alias("divergentes"))
 

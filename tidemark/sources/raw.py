@@ -22,7 +22,7 @@ def business_columns(df: DataFrame) -> list[str]:
 
 
 def _scan_text_table(
-    spark: SparkSession, path: str | list[str], columns: Sequence[str] | None, sep: str, encoding: str, multiline: bool
+    spark: SparkSession, path: str | list[str], columns: Sequence[str] | None, sep: str, encoding: str, multiline: bool, expected: Sequence[str] = ()
 ) -> DataFrame:
     cp1252 = encoding.lower() in _CP1252_NAMES
     reader = (
@@ -32,10 +32,15 @@ def _scan_text_table(
         .option("multiLine", multiline)
         .option("encoding", "ISO-8859-1" if cp1252 else encoding)
     )
-    if columns is not None:
-        # a given schema saves the job that reads headers, and pins the column order
-        reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
-    raw = reader.csv(path)
+    if columns is None:
+        header = reader.csv(path).columns
+        present = {c.strip().lower() for c in header}
+        absent = [c for c in expected if c.lower() not in present]
+        if absent:
+            raise ValueError(f"{path} lacks columns {absent}; its header has {header}")
+        # names come from the header, and every further file must have the same one: nothing is read by position
+        reader, columns = reader.option("enforceSchema", False), header
+    raw = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns])).csv(path)
     names = raw.columns
     shown = [(decode_cp1252(F.col(f"`{c}`")) if cp1252 else F.col(f"`{c}`")).alias(c) for c in names]
     # the file path is only known right above the scan
@@ -63,12 +68,17 @@ def read_raw(
     max_month: str | None = None,
     multiline: bool = False,
     hash_mode: str = "concat",
+    expected: Sequence[str] = (),
 ) -> DataFrame:
     """Delimited files to an all-string table with the five provenance columns.
 
+    Names come from the header, which must hold the ``expected`` ones in any order and case: a missing one raises, a
+    further one is kept, and files read together must have one header. ``columns`` instead renames by position,
+    for files whose own names are of no use.
+
     Leave ``multiline`` off unless records span lines: only then must a file be read by one task.
     """
-    scanned = _scan_text_table(spark, path, columns, sep, encoding, multiline)
+    scanned = _scan_text_table(spark, path, columns, sep, encoding, multiline, expected)
     return with_provenance(scanned, snapshot_date, max_month, hash_mode)
 
 
