@@ -7,15 +7,19 @@ two minhash values, give ``pieces ** 2`` table keys: every pair of a key of the
 collection. 32 minhash values thus serve 64 tables of four values each. Two sets of similarity 0.8 miss all
 64 tables with probability 2 * (1 - 0.8 ** 2) ** 8 = 0.0006, of 0.9 with 0.000003.
 
-Equal sets are one node. Tables whose buckets hold the same nodes are looked at once. Inside a bucket, nodes
-are dealt to blocks of bounded size, anew in each round, and every node proposes the partners in its block
-that are not yet in its component, agree with it on at least half of the minhash values and on 0.66 of a second
-sketch (a pair of similarity 0.8 does so but for a few cases in ten thousand), best first; later rounds take
-more, the last all. A pair is proposed in the first table that it shares, not in all of them, leaving
-aside tables whose bucket takes several blocks.
+Equal sets are one node. A table key can only be shared by nodes that share both of its halves, so the
+halves are counted first, and tables are formed only of halves that some other node has too: most nodes form none.
+
+Every node is first held against the smallest id among the buckets it is in most often. This star of links
+contracts a giant group of near copies in linear work. Then nodes of the buckets that still hold several
+components are dealt to blocks of bounded size, anew in each round, and every node proposes the partners in its
+block that are not yet in its component, are of a size that allows the similarity, agree with it on at least half
+of the minhash values and on 0.66 of a second sketch (a pair of similarity 0.8 does so but for a few cases in ten
+thousand), best first; later rounds take more, the last all. A pair is proposed in the first table that it
+shares, not in all of them, leaving aside tables whose bucket takes several blocks. In the last round such a
+bucket is compared whole: its nodes outside its largest component against all, cell by cell of a grid.
 Proposals are confirmed on the full sets, and confirmed links are contracted to components before the next
-round. A giant group of near copies so collapses in linear work, without all of its pairs, and no bucket
-is gathered in one task.
+round. No bucket is gathered in one task.
 """
 
 from __future__ import annotations
@@ -42,6 +46,9 @@ _MASKS = mix(_STEP * np.uint64(0xA0761D6478BD642F))
 RANGES = 128
 _EDGES = (np.arange(RANGES + 1, dtype=np.uint64) << np.uint64(57)).astype(np.uint64)
 
+#: What a node does in a block: compare with all, or only ask, or only answer.
+BOTH, ASKS, ANSWERS = 0, 1, 2
+
 #: Partners a node proposes per bucket and round; 0 takes all.
 ROUNDS = (3, 24, 192, 0)
 
@@ -132,40 +139,74 @@ def _here(sketch: np.ndarray, i: np.ndarray, j: np.ndarray, crowded: np.ndarray,
     return good
 
 
-def _proposals(ids: np.ndarray, comps: np.ndarray, crowded: np.ndarray, sketch: np.ndarray, table: int, oversize: bool, most: int) -> tuple[np.ndarray, np.ndarray, bool]:
+def _proposals(
+    ids: np.ndarray, comps: np.ndarray, crowded: np.ndarray, role: np.ndarray, sizes: np.ndarray, sketch: np.ndarray, table: int, oversize: bool, most: int, percent: int
+) -> tuple[np.ndarray, np.ndarray, bool]:
     """Pairs of a block: nodes with their best partners of other components, and whether any were left out."""
-    agree = _agreement(sketch[:, :VALUES], sketch[:, :VALUES])
-    i, j = np.nonzero(np.triu((agree >= VALUES // 2) & (comps[:, None] != comps[None, :]) & (ids[:, None] != ids[None, :])))
+    if role[0] == BOTH:
+        rows = columns = np.arange(len(ids))
+        agree = np.triu(_agreement(sketch[:, :VALUES], sketch[:, :VALUES]))
+    else:
+        rows, columns = np.flatnonzero(role == ASKS), np.flatnonzero(role == ANSWERS)
+        agree = _agreement(sketch[rows, :VALUES], sketch[columns, :VALUES])
+    r, c = np.nonzero(agree >= VALUES // 2)
+    score, i, j = agree[r, c].astype(np.int16), rows[r], columns[c]
+    good = (comps[i] != comps[j]) & (ids[i] != ids[j]) & (100 * np.minimum(sizes[i], sizes[j]) >= percent * np.maximum(sizes[i], sizes[j]))
+    score, i, j = score[good], i[good], j[good]
     good = _alike(sketch, i, j, 0.66)
-    i, j = i[good], j[good]
+    score, i, j = score[good], i[good], j[good]
     good = _here(sketch, i, j, crowded, table, oversize)
-    i, j = i[good], j[good]
+    score, i, j = score[good], i[good], j[good]
     if not most or not len(i):
         return i, j, False
     # the nodes of the largest component wait for proposals
-    names, sizes = np.unique(comps, return_counts=True)
-    asks = comps != names[sizes.argmax()] if sizes.max() > 1 else np.ones(len(ids), bool)
+    names, counts = np.unique(comps, return_counts=True)
+    asks = comps != names[counts.argmax()] if counts.max() > 1 else np.ones(len(ids), bool)
     who, pair = np.r_[i, j], np.r_[np.arange(len(i)), np.arange(len(i))]
     keep = asks[who]
     who, pair = who[keep], pair[keep]
-    order = np.lexsort((-agree[i[pair], j[pair]].astype(np.int16), who))
+    order = np.lexsort((-score[pair], who))
     who, pair = who[order], pair[order]
     rank = np.arange(len(who)) - np.searchsorted(who, who)
     chosen = np.unique(pair[rank < most])
     return i[chosen], j[chosen], bool((rank >= most).any())
 
 
-def _block_pairs(members: DataFrame, most: int, block_size: int) -> DataFrame:
+def _dealt(members: DataFrame, block: int, turn: int, last: bool) -> DataFrame:
+    """``members`` with the block that each compares its nodes in, and their role there.
+
+    Buckets of up to ``block`` nodes are one block. Larger ones are dealt to blocks by the id and ``turn``; in the last
+    turn they become a grid, in which every node outside the largest component meets every node.
+    """
+    blocks = F.ceil(F.col("n") / F.lit(block))
+    dealt = F.when(blocks > 1, F.pmod(F.xxhash64("id", F.lit(turn)), blocks)).otherwise(0).cast("long")
+    if not last:
+        return members.withColumn("block", dealt).withColumn("role", F.lit(BOTH))
+    small = members.where(F.col("n") <= block).withColumn("block", F.lit(0).cast("long")).withColumn("role", F.lit(BOTH))
+    large = members.where(F.col("n") > block)
+    counts = large.groupBy("key", "component").agg(F.count("*").alias("c"))
+    lead = counts.groupBy("key").agg(F.max_by("component", F.struct("c", "component")).alias("lead"), F.max("c").alias("lead_n"))
+    half = F.lit(max(block // 2, 1))
+    large = large.join(lead, "key").withColumn("across", F.ceil((F.col("n") - F.col("lead_n")) / half)).withColumn("down", F.ceil(F.col("n") / half))
+    asking = large.where("component <> lead").withColumn("g", F.pmod(F.xxhash64("id", F.lit(turn)), "across")).withColumn("r", F.explode(F.sequence(F.lit(0).cast("long"), F.col("down") - 1)))
+    asked = large.withColumn("r", F.pmod(F.xxhash64("id", F.lit(turn)), "down")).withColumn("g", F.explode(F.sequence(F.lit(0).cast("long"), F.col("across") - 1)))
+    grid = asking.withColumn("role", F.lit(ASKS)).unionByName(asked.withColumn("role", F.lit(ANSWERS)))
+    grid = grid.withColumn("block", F.col("g") * F.col("down") + F.col("r"))
+    return small.unionByName(grid.select(small.columns))
+
+
+def _block_pairs(members: DataFrame, most: int, block_size: int, percent: int) -> DataFrame:
     """Proposals of every (key, block), read in sorted order so that no block meets another."""
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[np.ndarray] = []
 
-        def pairs(key, block, ids, comps, table, n, crowded, sketch):
+        def pairs(key, block, ids, comps, table, n, crowded, role, sizes, sketch):
             edges = np.flatnonzero((key[1:] != key[:-1]) | (block[1:] != block[:-1])) + 1
             for lo, hi in zip(np.r_[0, edges], np.r_[edges, len(key)], strict=True):
                 if hi - lo > 1 and (comps[lo:hi] != comps[lo]).any():
-                    i, j, more = _proposals(ids[lo:hi], comps[lo:hi], crowded[lo:hi].view(np.uint64), sketch[lo:hi], int(table[lo]), bool(n[lo] > block_size), most)
+                    own = (x[lo:hi] for x in (ids, comps, crowded.view(np.uint64), role, sizes, sketch))
+                    i, j, more = _proposals(*own, int(table[lo]), bool(n[lo] > block_size), most, percent)
                     a, b = ids[lo:hi][i], ids[lo:hi][j]
                     yield np.minimum(a, b), np.maximum(a, b), np.full(len(i), more)
 
@@ -178,8 +219,8 @@ def _block_pairs(members: DataFrame, most: int, block_size: int) -> DataFrame:
             n = len(batch)
             if not n:
                 continue
-            sketch = np.frombuffer(b"".join(batch.column(7).to_pylist()), np.uint8).reshape(n, -1)
-            now = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(7)] + [sketch]
+            sketch = np.frombuffer(b"".join(batch.column(9).to_pylist()), np.uint8).reshape(n, -1)
+            now = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(9)] + [sketch]
             now = [np.concatenate(x) for x in zip(kept, now, strict=True)] if kept else now
             key, block = now[0], now[1]
             cut = int(np.flatnonzero((key != key[-1]) | (block != block[-1]))[-1]) + 1 if (key[0] != key[-1] or block[0] != block[-1]) else 0
@@ -189,7 +230,7 @@ def _block_pairs(members: DataFrame, most: int, block_size: int) -> DataFrame:
         if kept:
             yield batch_of(pairs(*kept))
 
-    dealt = members.select("key", "block", "id", "component", "table", "n", "crowded", "sketch").repartition("key", "block").sortWithinPartitions("key", "block")
+    dealt = members.select("key", "block", "id", "component", "table", "n", "crowded", "role", "n_shingles", "sketch").repartition("key", "block").sortWithinPartitions("key", "block")
     return dealt.mapInArrow(over, "a long, b long, more boolean").groupBy("a", "b").agg(F.max("more").alias("more"))
 
 
@@ -217,50 +258,55 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     repeat an id share its component. Further columns of ``docs`` are ignored; an empty table gives no rows.
     """
     prints = stage(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    nodes = prints.where("set_id is not null and id is not null").groupBy("set_id").agg(F.min("id").alias("id"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch"))
-    nodes = stage(nodes, "nodes")
+    valid = prints.where("set_id is not null and id is not null")
+    sets = stage(valid.groupBy("set_id").agg(F.min("id").alias("id")), "sets")
+
+    # halves of table keys that several nodes have; a node has at most 2 * PIECES of them
+    halves = valid.join(sets, ["set_id", "id"]).select("id", F.posexplode("keys").alias("i", "x"))
+    common = halves.groupBy("x").agg(F.count("*").alias("n")).where("n > 1").select("x")
+    shared = halves.join(common, "x").groupBy("id").agg(F.collect_set(F.struct("i", "x")).alias("halves"))
+    first, second = F.filter("halves", lambda h: h["i"] < PIECES), F.filter("halves", lambda h: h["i"] >= PIECES)
+    tabled = shared.select("id", F.explode(first).alias("p"), second.alias("second")).select("id", "p", F.explode("second").alias("q"))
+    tabled = tabled.select("id", (PIECES * F.col("p.i") + F.col("q.i") - PIECES).alias("table"), F.xxhash64("p.x", "q.x").alias("key"))
+    tabled = stage(tabled, "tables")
+
+    buckets = stage(tabled.groupBy("key").agg(F.count("*").alias("n"), F.min("table").alias("table"), F.min("id").alias("rep"), F.bit_xor(F.xxhash64("id")).alias("held")).where("n > 1"), "buckets")
+    inside = tabled.join(buckets.select("key", "rep"), "key").groupBy("id", "rep").agg(F.count("*").alias("c"))
+    star = inside.where((F.col("id") != F.col("rep")) & (F.col("c") >= PIECES)).groupBy("id").agg(F.min_by("rep", F.struct(F.negative("c"), "rep")).alias("rep"))
+    star = stage(star.select(F.col("rep").alias("a"), F.col("id").alias("b")), "star")
 
-    half = F.slice("keys", 1, PIECES), F.slice("keys", PIECES + 1, PIECES)
-    tabled = nodes.select("id", F.posexplode(half[0]).alias("i", "x"), half[1].alias("ys")).select("id", "i", "x", F.posexplode("ys").alias("j", "y"))
-    tabled = tabled.select("id", (PIECES * F.col("i") + F.col("j")).alias("table"), F.xxhash64("x", "y").alias("key"))
-    buckets = tabled.groupBy("key").agg(F.count("*").alias("n"), F.min("table").alias("table"), F.bit_xor(F.xxhash64("id")).alias("held")).where("n > 1")
     first_of = buckets.groupBy("n", "held").agg(F.min_by("key", "table").alias("key"))
     crowds = tabled.join(buckets.where(F.col("n") > block).select("key"), "key").groupBy("id").agg(F.bit_or(F.expr("shiftleft(1L, table)")).alias("crowded"))
-    members = tabled.join(first_of.select("key", "n"), "key").join(nodes.select("id", "sketch"), "id")
-    members = members.join(crowds, "id", "left").withColumn("crowded", F.coalesce("crowded", F.lit(0).cast("long")))
+    members = tabled.join(first_of.select("key", "n"), "key").join(crowds, "id", "left").withColumn("crowded", F.coalesce("crowded", F.lit(0).cast("long")))
     members = stage(members, "members")
-    near = members.select("id").distinct()
+    near = stage(members.select("id").distinct(), "near")
+    sketches = stage(valid.join(sets, ["set_id", "id"]).join(near, "id", "left_semi").select("id", "n_shingles", "sketch").dropDuplicates(["id"]), "sketches")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("text is not null")
-    texts = stage(texts.join(near, "id").dropDuplicates(["id"]), "texts")
-
-    oversize = members.where(F.col("n") > block).limit(1).count() > 0
-    label, links, tested = None, None, None
-    for turn, most in enumerate(ROUNDS):
-        open_ = members.withColumn("component", F.col("id"))
-        if label is not None:
-            open_ = members.join(label.withColumnRenamed("component", "_c"), "id", "left").withColumn("component", F.coalesce("_c", "id")).drop("_c")
-            split = open_.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-            open_ = open_.join(split, "key", "left_semi")
-        blocks = F.ceil(F.col("n") / F.lit(block))
-        open_ = open_.withColumn("block", F.when(blocks > 1, F.pmod(F.xxhash64("id", F.lit(turn)), blocks)).otherwise(0).cast("int"))
-        pairs = _block_pairs(open_, most, block)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stage(pairs, "pairs")
-        if pairs.isEmpty():
-            break
-        found = stage(confirmed(pairs.select("a", "b"), texts, shingle, percent), "links")
-        links = found if links is None else links.unionAll(found)
-        tested = pairs.select("a", "b") if tested is None else tested.unionAll(pairs.select("a", "b"))
-        label = components(links)
-        if not oversize and not pairs.where("more").limit(1).count():
-            break
-
-    of_set = nodes.select("set_id", F.col("id").alias("node"))
+    texts = stage(texts.join(near, "id", "left_semi").dropDuplicates(["id"]), "texts")
+
+    links = stage(confirmed(star, texts, shingle, percent), "links")
+    tested, label = star, components(links)
+    turns = list(ROUNDS)
+    while turns:
+        most = turns.pop(0)
+        open_ = members.join(label.withColumnRenamed("component", "_c"), "id", "left").withColumn("component", F.coalesce("_c", "id")).drop("_c")
+        open_ = stage(open_, "labelled")
+        split = open_.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
+        open_ = stage(open_.join(split, "key", "left_semi"), "open")
+        oversize = not open_.where(F.col("n") > block).isEmpty()
+        dealt = _dealt(open_, block, len(turns), last=not most).join(sketches, "id")
+        found = stage(_block_pairs(dealt, most, block, percent), "proposals")
+        pairs = stage(found.join(tested, ["a", "b"], "left_anti").select("a", "b"), "pairs")
+        if not pairs.isEmpty():
+            links = links.unionAll(stage(confirmed(pairs, texts, shingle, percent), "links"))
+            tested = tested.unionAll(pairs)
+            label = components(links)
+        if found.where("more").isEmpty():
+            # nothing was left out; only buckets of several blocks still need the last round
+            turns = turns[-1:] if oversize else []
+
+    of_set = sets.withColumnRenamed("id", "node")
     out = prints.select("id", "n_shingles", "set_id").join(of_set, "set_id", "left")
-    if label is not None:
-        out = out.join(label.select(F.col("id").alias("node"), "component"), "node", "left")
-    else:
-        out = out.withColumn("component", F.lit(None).cast("long"))
+    out = out.join(label.select(F.col("id").alias("node"), "component"), "node", "left")
     out = out.select(F.col("id").alias(id_col), "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("component", "node", "id")).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True)))
