@@ -244,7 +244,10 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
             good.append(100 * common >= percent * (len(x) + len(y) - common))
         return pa.record_batch(batch.columns[:2], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
+    first = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
+    # only the texts that a pair names are dealt out
+    second = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")).join(pairs.select("b").distinct(), "b", "left_semi")
+    both = pairs.join(first, "a").join(second, "b")
     return map_arrow(both.select("a", "b", "text_a", "text_b"), of, "a long, b long")
 
 
