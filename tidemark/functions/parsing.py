@@ -33,15 +33,12 @@ def parse_month(col: Column | str) -> Column:
 
 
 def _cp1252_tables() -> tuple[str, str]:
-    """Code points 0x80-0x9F as ISO-8859-1 shows them, and the characters windows-1252 means by them."""
-    shown, meant = [], []
-    for byte in range(0x80, 0xA0):
-        try:
-            meant.append(bytes([byte]).decode("windows-1252"))
-        except UnicodeDecodeError:
-            continue
-        shown.append(chr(byte))
-    return "".join(shown), "".join(meant)
+    """Code points 0x80-0x9F as ISO-8859-1 shows them, and the characters windows-1252 means by them.
+
+    The bytes that windows-1252 leaves undefined become U+FFFD, so that a damaged text shows.
+    """
+    codes = range(0x80, 0xA0)
+    return "".join(map(chr, codes)), "".join(bytes([c]).decode("windows-1252", "replace") for c in codes)
 
 
 def decode_cp1252(col: Column | str) -> Column:

@@ -1,6 +1,7 @@
 """Null-safe boolean columns: each of these is TRUE or FALSE, never NULL.
 
-A predicate and its negation therefore split a table without losing rows.
+A predicate and its negation therefore split a table without losing rows. Those on a value say "not NULL and ..."
+rather than hide the condition in a coalesce, so that as filters they reach the scan.
 """
 
 from __future__ import annotations
@@ -26,7 +27,8 @@ def is_blank(col: Column | str) -> Column:
 
 def in_domain(col: Column | str, allowed: Iterable[Any]) -> Column:
     """Value is one of ``allowed``; a NULL is not."""
-    return _sure(_col(col).isin(list(allowed)))
+    c = _col(col)
+    return c.isNotNull() & c.isin([a for a in allowed if a is not None])
 
 
 def outside_domain(col: Column | str, allowed: Iterable[Any]) -> Column:
@@ -35,12 +37,14 @@ def outside_domain(col: Column | str, allowed: Iterable[Any]) -> Column:
 
 
 def matches(col: Column | str, pattern: str) -> Column:
-    return _sure(_col(col).rlike(pattern))
+    c = _col(col)
+    return c.isNotNull() & c.rlike(pattern)
 
 
 def in_period(col: Column | str, start: Any, end: Any) -> Column:
     """Both ends included."""
-    return _sure(_col(col).between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    c = _col(col)
+    return c.isNotNull() & c.between(F.lit(start).cast("date"), F.lit(end).cast("date"))
 
 
 def has_padding(col: Column | str) -> Column:

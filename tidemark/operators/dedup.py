@@ -36,13 +36,13 @@ class ValueLost(ValueError):
 
 
 def dedup_conserving(collapsed: DataFrame, value: Column, tolerance: float = 0, copies: str = "__copias") -> DataFrame:
-    """Rows without their copies; raises when the copies carry value.
+    """Rows without their copies; raises when the copies carry value, even where gains and losses cancel.
 
     Takes the output of :func:`collapse_duplicates`, staged if the caller goes on to use it,
     so that the gate and the result share one shuffle.
     """
-    removed = dedup_report(collapsed, value, copies).first()["soma_removida"]
-    if abs(removed) > tolerance:
+    removed = dedup_report(collapsed, value, copies).first()["modulo_removido"]
+    if removed > tolerance:
         raise ValueLost(f"exact duplicates carry value: {removed}")
     return collapsed.drop(copies)
 

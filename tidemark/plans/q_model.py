@@ -54,28 +54,22 @@ def m4_dim_latest(t: Tables) -> DataFrame:
     return dim_latest(history, "cod_grupo", ["nome_grupo", "fl_grupo_generico"], "o_orderdate", ["o_orderkey"], unknown)
 
 
-@query(f"""WITH {r.BRIDGE} SELECT cod_grupo, tipo_atribuicao, year(mes_ref) AS ano, COUNT(*) AS linhas, CAST(SUM(meses_defasagem) AS BIGINT) AS meses
+@query(f"""WITH {r.WHOLE_BRIDGE} SELECT cod_grupo, tipo_atribuicao, year(mes_ref) AS ano, COUNT(*) AS linhas, CAST(SUM(meses_defasagem) AS BIGINT) AS meses
 FROM bridge GROUP BY ALL""")
 def m5_bridge(t: Tables) -> DataFrame:
     by = ["cod_grupo", "tipo_atribuicao", F.year("mes_ref").alias("ano")]
-    return r.customer_bridge(t).groupBy(*by).agg(r.rows(), F.sum("meses_defasagem").alias("meses"))
-
-
-_FACT = f"""WITH {r.BRIDGE}, {r.CLINES}, {r.TRANSFERS},
-c AS (SELECT cod_empresa, mes_ref, cod_produto, SUM(valor) AS v FROM clines WHERE tipo = 'A' GROUP BY ALL),
-g AS (SELECT cod_empresa, mes_ref, cod_produto, SUM(valor) AS v FROM clines WHERE tipo = 'R' GROUP BY ALL),
-p AS (SELECT cod_empresa, mes_ref, cod_produto, SUM(CASE WHEN direcao = 'ACEITA' THEN valor ELSE 0 END) AS a,
-  SUM(CASE WHEN direcao = 'CEDIDA' THEN valor ELSE 0 END) AS x FROM transfers
-  WHERE cod_produto IS NOT NULL AND direcao IS NOT NULL GROUP BY ALL),
-k AS (SELECT cod_empresa, mes_ref, cod_produto FROM c UNION SELECT cod_empresa, mes_ref, cod_produto FROM g
-  UNION SELECT cod_empresa, mes_ref, cod_produto FROM p),
-fato AS (SELECT k.*, b.cod_grupo, COALESCE(c.v, 0) AS vl_contribuicao, COALESCE(g.v, 0) AS vl_resgate, COALESCE(p.a, 0) AS vl_portab_aceita,
-  COALESCE(p.x, 0) AS vl_portab_cedida, c.v IS NOT NULL AS fl_tem_contribuicao, g.v IS NOT NULL AS fl_tem_resgate, p.a IS NOT NULL AS fl_tem_portabilidade
-  FROM k LEFT JOIN c ON c.cod_empresa = k.cod_empresa AND c.mes_ref = k.mes_ref AND c.cod_produto = k.cod_produto
-  LEFT JOIN g ON g.cod_empresa = k.cod_empresa AND g.mes_ref = k.mes_ref AND g.cod_produto = k.cod_produto
-  LEFT JOIN p ON p.cod_empresa = k.cod_empresa AND p.mes_ref = k.mes_ref AND p.cod_produto = k.cod_produto
-  JOIN bridge b ON b.cod_empresa = k.cod_empresa AND b.mes_ref = k.mes_ref
-  WHERE k.mes_ref BETWEEN DATE '1996-01-01' AND DATE '2001-07-01')"""
+    sources = r.customer_sources(t)
+    return _bridge_from(t, sources["movimento"], sources["portabilidade"]).groupBy(*by).agg(r.rows(), F.sum("meses_defasagem").alias("meses"))
+
+
+_FACT = f"""WITH {r.WHOLE_BRIDGE}, {r.CLINES}, {r.TRANSFERS},
+moved AS (SELECT cod_empresa, mes_ref, cod_produto, tipo AS kind, valor FROM clines WHERE tipo IN ('A', 'R')
+  UNION ALL SELECT cod_empresa, mes_ref, cod_produto, direcao, valor FROM transfers WHERE cod_produto IS NOT NULL AND direcao IS NOT NULL),
+summed AS (SELECT cod_empresa, mes_ref, cod_produto, SUM(if(kind = 'A', valor, 0)) AS vl_contribuicao, SUM(if(kind = 'R', valor, 0)) AS vl_resgate,
+  SUM(if(kind = 'ACEITA', valor, 0)) AS vl_portab_aceita, SUM(if(kind = 'CEDIDA', valor, 0)) AS vl_portab_cedida,
+  bool_or(kind = 'A') AS fl_tem_contribuicao, bool_or(kind = 'R') AS fl_tem_resgate, bool_or(kind IN ('ACEITA', 'CEDIDA')) AS fl_tem_portabilidade
+  FROM moved WHERE mes_ref BETWEEN DATE '1996-01-01' AND DATE '2001-07-01' GROUP BY ALL),
+fato AS (SELECT summed.*, cod_grupo FROM summed JOIN bridge USING (cod_empresa, mes_ref))"""
 
 
 @query(f"""{_FACT} SELECT cod_empresa, strftime(mes_ref, '%Y%m') AS ano_mes, cod_produto, cod_grupo, CAST(vl_contribuicao AS DOUBLE) AS vl_contribuicao,
@@ -91,8 +85,7 @@ def m6_flow_fact(t: Tables) -> DataFrame:
     fact = flow_fact(
         {name: (sources[name], columns) for name, columns in measures.items()},
         KEYS,
-        # lines drive the bridge; a transfer in a month without lines finds no row in it
-        _bridge_from(t, sources["movimento"]).select("cod_empresa", "mes_ref", "cod_grupo"),
+        _bridge_from(t, sources["movimento"], sources["portabilidade"]).select("cod_empresa", "mes_ref", "cod_grupo"),
         ["cod_empresa", "mes_ref"],
         {"vl_flcr": own, "vl_portab_liquida": net, "vl_captacao_liquida": own + net},
         F.col("mes_ref").between(F.lit("1996-01-01").cast("date"), F.lit("2001-07-01").cast("date")),
@@ -101,10 +94,10 @@ def m6_flow_fact(t: Tables) -> DataFrame:
     return r.doubles(fact.withColumn("ano_mes", F.date_format("mes_ref", "yyyyMM")).drop("mes_ref"), *amounts)
 
 
-def _bridge_from(t: Tables, moved: DataFrame) -> DataFrame:
+def _bridge_from(t: Tables, *sources: DataFrame) -> DataFrame:
     from tidemark.operators.temporal import temporal_bridge
 
-    return temporal_bridge([moved], r.group_history(t), "cod_empresa", "mes_ref", "cod_grupo")
+    return temporal_bridge(sources, r.group_history(t), "cod_empresa", "mes_ref", "cod_grupo")
 
 
 @query(f"""WITH {r.BRIDGE}, {r.CLINES}, s AS (SELECT cod_empresa, mes_ref, cod_produto, SUM(SUM(valor)) OVER (PARTITION BY cod_empresa, cod_produto
@@ -184,7 +177,7 @@ FROM u JOIN bridge b ON b.cod_empresa = u.cod_empresa AND b.mes_ref = u.mes_ref
 def m10_attribution_summary(t: Tables) -> DataFrame:
     """How the group was found, for the months that reach the fact."""
     sources = r.customer_sources(t)
-    bridge = stage(_bridge_from(t, sources["movimento"]), "bridge")
+    bridge = stage(_bridge_from(t, sources["movimento"], sources["portabilidade"]), "bridge")
     period = F.col("mes_ref").between(F.lit("1996-01-01").cast("date"), F.lit("2001-07-01").cast("date"))
     moves = [sources[s].filter(period).select("cod_empresa", "mes_ref") for s in ("contribuicao", "resgate", "portabilidade")]
     used = moves[0].unionByName(moves[1]).unionByName(moves[2]).distinct()

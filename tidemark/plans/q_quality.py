@@ -206,13 +206,13 @@ def d12_zero(t: Tables) -> DataFrame:
     return _row_rule(t, "lineitem", t.lineitem, rule)
 
 
-@query("""SELECT o_orderstatus, COUNT(*) FILTER (WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH')) AS fora,
+@query("""SELECT COUNT(*) FILTER (WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH')) AS fora,
   round(100 * CAST(SUM(CAST(o_totalprice AS DECIMAL(20,2))) FILTER (WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')) AS DOUBLE)
-    / CAST(SUM(CAST(o_totalprice AS DECIMAL(20,2))) AS DOUBLE), 6) AS pct_valor FROM orders WHERE o_orderstatus = 'F' GROUP BY ALL""")
+    / CAST(SUM(CAST(o_totalprice AS DECIMAL(20,2))) AS DOUBLE), 6) AS pct_valor FROM orders""")
 def d13_scope_report(t: Tables) -> DataFrame:
-    done = t.orders.filter("o_orderstatus = 'F'").withColumn("v", F.col("o_totalprice").cast(r.AMOUNT))
-    report = scope_filter(done, "o_orderpriority", ["1-URGENT", "2-HIGH"], "v")[1]
-    return report.select(F.lit("F").alias("o_orderstatus"), F.col("linhas_fora").alias("fora"), F.round("pct_valor_no_escopo", 6).alias("pct_valor"))
+    valued = t.orders.withColumn("v", F.col("o_totalprice").cast(r.AMOUNT))
+    report = scope_filter(valued, "o_orderpriority", ["1-URGENT", "2-HIGH"], "v")[1]
+    return report.select(F.col("linhas_fora").alias("fora"), F.round("pct_valor_no_escopo", 6).alias("pct_valor"))
 
 
 def _copies(t: Tables) -> DataFrame:
@@ -246,10 +246,9 @@ def d14_dedup_report(t: Tables) -> DataFrame:
 
 @query(f"""WITH {_COPIES} SELECT l_linestatus AS cod_produto, COUNT(*) AS linhas, CAST(SUM(v) AS DOUBLE) AS total FROM d GROUP BY ALL""")
 def d14_dedup_conserving(t: Tables) -> DataFrame:
-    """Gate and result from one staged shuffle. Here the gate allows what the removed copies are worth."""
+    """Gate and result from one staged shuffle."""
     collapsed = stage(collapse_duplicates(_copies(t)), "collapsed")
-    worth = dedup_report(collapsed, parse_decimal("valor")).first()["modulo_removido"]
-    kept = dedup_conserving(collapsed, parse_decimal("valor"), tolerance=worth)
+    kept = dedup_conserving(collapsed, parse_decimal("valor"))
     return kept.groupBy("cod_produto").agg(r.rows(), F.sum(parse_decimal("valor")).cast("double").alias("total"))
 
 

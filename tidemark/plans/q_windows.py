@@ -49,18 +49,18 @@ def w2_trailing_mean(t: Tables) -> DataFrame:
 WINDOW w AS (PARTITION BY cod_empresa, cod_produto ORDER BY mes_ref ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)""")
 def w3_moving_mean(t: Tables) -> DataFrame:
     by = ["cod_empresa", "cod_produto"]
-    recent = an.monthly_totals(r.lines(t).filter("mes_ref >= '1998-01-01'"), ["valor"], by)
+    recent = an.monthly_totals(r.lines(t, since="1998-01-01"), ["valor"], by)
     return r.doubles(_month(moving_mean(recent, by, "mes_ref", "valor", 3)), "valor")
 
 
-@query(f"""{_CM}, b AS (SELECT cod_empresa, cod_produto, MIN(mes_ref) AS a, MAX(mes_ref) AS z FROM m WHERE v > 150000 GROUP BY ALL),
+@query(f"""{_CM}, b AS (SELECT cod_empresa, cod_produto, MIN(mes_ref) AS a, MAX(mes_ref) AS z FROM m GROUP BY ALL),
 d AS (SELECT cod_empresa, cod_produto, CAST(unnest(generate_series(a, z, INTERVAL 1 MONTH)) AS DATE) AS mes_ref FROM b)
 SELECT d.cod_empresa, d.cod_produto, strftime(d.mes_ref, '%Y%m') AS ano_mes, CAST(v AS DOUBLE) AS valor
-FROM d LEFT JOIN (SELECT * FROM m WHERE v > 150000) k ON k.cod_empresa = d.cod_empresa AND k.cod_produto = d.cod_produto AND k.mes_ref = d.mes_ref""")
+FROM d LEFT JOIN m k ON k.cod_empresa = d.cod_empresa AND k.cod_produto = d.cod_produto AND k.mes_ref = d.mes_ref""")
 def w3_fill_months(t: Tables) -> DataFrame:
     """Calendar-dense series: the months a series skips, as rows."""
     by = ["cod_empresa", "cod_produto"]
-    return r.doubles(_month(fill_months(_monthly(t, by).filter("valor > 150000"), by, "mes_ref")), "valor")
+    return r.doubles(_month(fill_months(_monthly(t, by), by, "mes_ref")), "valor")
 
 
 @query("""SELECT o_custkey, o_orderkey, o_orderpriority, strftime(o_orderdate, '%Y-%m-%d') AS dia FROM (
