@@ -213,6 +213,14 @@ def test_decontamination_follows_slots(spark):
     assert got[1].n_changed == 0 and got[2].n_changed >= 1
 
 
+def test_decontamination_pools_a_copy_that_an_edit_splits(spark):
+    words = [f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(30)]
+    bench = spark.createDataFrame([(7, " ".join(words))], "item_id long, text string")
+    rows = [(1, "so " + " ".join([*words[:15], "really", *words[15:]])), (2, " ".join([*words[:15], *words[16:]])), (3, " ".join([*words[:10], *["filler"] * 60, *words[20:]]))]
+    got = {r.doc_id: r for r in contaminated(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
+    assert set(got) == {1, 2} and got[1].n_windows == 16
+
+
 def test_grammar_marks_negation_report_and_target():
     machine = toxicity.grammar()
     events = lambda tags: [x for x in machine.best(tags)[1] if x != "-"]

@@ -4,7 +4,8 @@ Method
 ------
 Texts become templates: words in lower case, with typed placeholders for numbers, names (a capital inside a
 sentence) and units (after a number). Hashed windows of template tokens are joined between documents and benchmark
-items. Matches of one document and item on one diagonal form a passage; its slots must map one to one (the
+items. Matches of one document and item on one diagonal form a passage, and so do those on neighbouring
+diagonals, since an inserted or dropped word moves the rest of a copy to another; a passage's slots must map one to one (the
 same benchmark value to the same document value, and back), which catches questions asked again with other
 numbers or names and leaves accidental matches alone. A passage that covers enough of the item is a leak.
 
@@ -16,7 +17,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_arrow
@@ -133,10 +134,17 @@ def _emit(batch: pa.RecordBatch, sizes_of, bitmap):
         )
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = 8, least: int = 4, share: float = 0.5, run_tokens: int = 20) -> DataFrame:
+def _covered(places: Column, size: Column) -> Column:
+    """Tokens in windows of ``size`` at these sorted places."""
+    steps = F.transform(places, lambda p, i: F.when(i == 0, size).otherwise(F.least(size, p - F.get(places, i - 1))))
+    return F.aggregate(steps, F.lit(0), lambda total, step: total + step)
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = 8, least: int = 4, share: float = 0.5, run_tokens: int = 20, drift: int = 16) -> DataFrame:
     """Pairs of a document and a benchmark item that it leaks: ``doc_id``, ``item_id``, ``share``, ``n_windows``, ``n_slots``, ``n_changed``.
 
-    A passage is a leak when its matching windows are ``share`` of the item's, or cover ``run_tokens`` tokens.
+    A passage is a leak when its matching windows are ``share`` of the item's, or cover ``run_tokens`` of its tokens;
+    it holds diagonals at most ``drift`` tokens apart.
     Items of fewer than ``window`` tokens match as a whole, those below ``least`` never. ``n_slots`` counts the
     distinct slot values of the passage, ``n_changed`` those that differ in the document. Null or empty texts and null ids on
     either side match nothing; repeated rows count once; an item that is repeated in a document gives one row;
@@ -166,16 +174,25 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     found = map_arrow(texts, lambda batch: _emit(batch, sizes, bitmap), f"id {docs.schema[id_col].dataType.simpleString()}, size int, hash long, place int, slots array<string>")
     found = found.select(F.col("id").alias("doc"), "hash", F.col("place").alias("at"), F.col("slots").alias("theirs"))
     matched = found.join(windows.withColumnRenamed("id", "item"), "hash").withColumn("shift", F.col("at") - F.col("place"))
-    passage = matched.groupBy("doc", "item", "shift").agg(
-        F.count_distinct("place").alias("n_windows"),
+    diagonal = matched.groupBy("doc", "item", "shift").agg(
+        F.collect_set("place").alias("places"),
         F.max("size").alias("size"),
         F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("slots", "theirs")))).alias("pairs"),
     )
+    # a diagonal alone, and in the two overlapping stretches of diagonals that hold it: those at most ``drift`` apart share one
+    stretch = F.floor(F.col("shift") / drift)
+    within = F.array(F.struct(F.lit(0).alias("wide"), F.col("shift").cast("long").alias("k")), *[F.struct(F.lit(1).alias("wide"), (stretch - back).alias("k")) for back in (0, 1)])
+    passage = diagonal.withColumn("within", F.explode(within)).groupBy("doc", "item", "within").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("places")))).alias("places"),
+        F.max("size").alias("size"),
+        F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"),
+    )
     pairs = F.col("pairs")
     one_to_one = (F.size(F.array_distinct(pairs["slots"])) == F.size(pairs)) & (F.size(F.array_distinct(pairs["theirs"])) == F.size(pairs))
     passage = passage.where(one_to_one).withColumn("n_changed", F.size(F.filter("pairs", lambda p: p["slots"] != p["theirs"])))
+    passage = passage.withColumns({"n_windows": F.size("places").cast("long"), "covered": _covered(F.col("places"), F.col("size"))})
     whole = windows.groupBy(F.col("id").alias("item")).agg(F.count_distinct("place").alias("of"))
     leaks = passage.join(whole, "item").withColumn("share", F.col("n_windows") / F.col("of"))
-    leaks = leaks.where((F.col("share") >= share) | (F.col("n_windows") + F.col("size") - 1 >= run_tokens))
-    best = leaks.groupBy("doc", "item").agg(F.max_by(F.struct("share", "n_windows", F.size("pairs").alias("n_slots"), "n_changed"), F.struct("share", F.negative("shift"))).alias("b"))
+    leaks = leaks.where((F.col("share") >= share) | (F.col("covered") >= run_tokens))
+    best = leaks.groupBy("doc", "item").agg(F.max_by(F.struct("share", "n_windows", F.size("pairs").alias("n_slots"), "n_changed"), F.struct("share", F.negative("within.wide"), F.negative("within.k"))).alias("b"))
     return best.select(F.col("doc").alias(id_col), F.col("item").alias(item_col), "b.*")
