@@ -221,6 +221,14 @@ def test_decontamination_pools_a_copy_that_an_edit_splits(spark):
     assert set(got) == {1, 2} and got[1].n_windows == 16
 
 
+def test_decontamination_finds_verbatim_slots_and_short_items(spark):
+    items = [(1, "Compute 12 * 34 + 56 - 78"), (2, "Name the largest moon of Saturn"), (3, "Anna Berg, Carl Dorn, Emil Falk, Gerd Hahn, Inge Jung"), (4, "Tom buys 5 apples and pears")]
+    rows = [(1, "We ask: who can compute 12 * 34 + 56 - 78 fast?"), (2, "They said Name the largest moon of Saturn again"), (3, "guests were Anna Berg, Carl Dorn, Emil Falk, Gerd Hahn, Inge Jung"), (4, "Then Tom buys 9 apples and pears"), (5, "Compute 11 * 34 + 57 - 78")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = contaminated(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(1, 1), (2, 2), (3, 3), (4, 4)]
+
+
 def test_grammar_marks_negation_report_and_target():
     machine = toxicity.grammar()
     events = lambda tags: [x for x in machine.best(tags)[1] if x != "-"]
