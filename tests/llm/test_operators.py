@@ -229,6 +229,14 @@ def test_decontamination_finds_verbatim_slots_and_short_items(spark):
     assert sorted((r.doc_id, r.item_id) for r in got) == [(1, 1), (2, 2), (3, 3), (4, 4)]
 
 
+def test_decontamination_keeps_literal_evidence_beside_a_conflict(spark):
+    item = "Tom has 12 apples and buys 5 kg of flour for 12 dollars at the old market in town today before he walks home with them"
+    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
+    rows = [(1, item.replace("has 12", "has 30")), (2, item.replace("has 12", "has 5")), (3, "Eve has 30 apples and buys 7 kg of flour for 40 dollars")]
+    got = contaminated(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()
+    assert {r.doc_id for r in got} == {1, 2}
+
+
 def test_grammar_marks_negation_report_and_target():
     machine = toxicity.grammar()
     events = lambda tags: [x for x in machine.best(tags)[1] if x != "-"]

@@ -8,7 +8,7 @@ items. Matches of one document and item on one diagonal form a passage, and so d
 diagonals, since an inserted or dropped word moves the rest of a copy to another. Windows are joined in literal
 form as well, so a verbatim copy matches whatever its slots and what stands before it; a passage's slots must map one to one (the
 same benchmark value to the same document value, and back), which catches questions asked again with other
-numbers or names and leaves accidental matches alone. A passage that covers enough of the item is a leak.
+numbers or names and leaves accidental matches alone. Where they do not, literal windows alone count. A passage that covers enough of the item is a leak.
 
 Documents send only windows whose hash is set in a bitmap of the benchmark's windows. The bitmap has a fixed
 size whatever the benchmark's, and the join behind it decides, so it loses nothing.
@@ -156,7 +156,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     A passage is a leak when its matching windows are ``share`` of the item's (of all, or of those with slots in less
     than half of their places), or cover ``run_tokens`` of its tokens;
-    it holds diagonals at most ``drift`` tokens apart.
+    it holds diagonals at most ``drift`` tokens apart. One whose slots conflict is a leak when its literal windows cover ``run_tokens``.
     Items of fewer than ``window`` tokens match as a whole, those below ``least`` never. ``n_slots`` counts the
     distinct slot values of the passage, ``n_changed`` those that differ in the document. Null or empty texts and null ids on
     either side match nothing; repeated rows count once; an item that is repeated in a document gives one row;
@@ -190,6 +190,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     diagonal = matched.groupBy("doc", "item", "shift").agg(
         F.collect_set("place").alias("places"),
         F.collect_set(F.when(F.col("wordy"), F.col("place"))).alias("wordy"),
+        F.collect_set(F.when(F.col("exact"), F.col("place"))).alias("literal"),
         F.max("size").alias("size"),
         F.array_distinct(F.flatten(F.collect_set("slots"))).alias("values"),
         F.array_distinct(F.flatten(F.collect_set(F.when(~F.col("exact"), F.arrays_zip("slots", "theirs"))))).alias("pairs"),
@@ -200,18 +201,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     passage = diagonal.withColumn("within", F.explode(within)).groupBy("doc", "item", "within").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("places")))).alias("places"),
         F.size(F.array_distinct(F.flatten(F.collect_list("wordy")))).alias("n_wordy"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("literal")))).alias("literal"),
         F.max("size").alias("size"),
         F.size(F.array_distinct(F.flatten(F.collect_list("values")))).alias("n_slots"),
         F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"),
     )
     pairs = F.col("pairs")
     one_to_one = (F.size(F.array_distinct(pairs["slots"])) == F.size(pairs)) & (F.size(F.array_distinct(pairs["theirs"])) == F.size(pairs))
-    passage = passage.where(one_to_one).withColumn("n_changed", F.size(F.filter("pairs", lambda p: p["slots"] != p["theirs"])))
+    # where they conflict, windows with slots of other values drop out and the literal ones must be long enough by themselves
+    passage = passage.withColumns({"fits": one_to_one, "n_changed": F.size(F.filter("pairs", lambda p: p["slots"] != p["theirs"]))})
+    passage = passage.withColumn("places", F.when(F.col("fits"), F.col("places")).otherwise(F.col("literal")))
     passage = passage.withColumns({"n_windows": F.size("places").cast("long"), "covered": _covered(F.col("places"), F.col("size"))})
     # a copy with other values shows only in windows that are mostly words
     whole = windows.where("exact").groupBy("item").agg(F.count_distinct("place").alias("of"), F.count_distinct(F.when(F.col("wordy"), F.col("place"))).alias("of_wordy"))
-    of_words = F.when(F.col("of_wordy") > 0, F.col("n_wordy") / F.col("of_wordy"))
+    of_words = F.when(F.col("fits") & (F.col("of_wordy") > 0), F.col("n_wordy") / F.col("of_wordy"))
     leaks = passage.join(whole, "item").withColumn("share", F.greatest(F.col("n_windows") / F.col("of"), of_words))
-    leaks = leaks.where((F.col("share") >= share) | (F.col("covered") >= run_tokens))
-    best = leaks.groupBy("doc", "item").agg(F.max_by(F.struct("share", "n_windows", "n_slots", "n_changed"), F.struct("share", F.negative("within.wide"), F.negative("within.k"))).alias("b"))
+    leaks = leaks.where((F.col("fits") & (F.col("share") >= share)) | (F.col("covered") >= run_tokens))
+    best = leaks.groupBy("doc", "item").agg(F.max_by(F.struct("share", "n_windows", "n_slots", "n_changed"), F.struct("fits", "share", F.negative("within.wide"), F.negative("within.k"))).alias("b"))
     return best.select(F.col("doc").alias(id_col), F.col("item").alias(item_col), "b.*")
