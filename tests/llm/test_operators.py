@@ -190,6 +190,17 @@ def test_license_templates(spark):
     assert "Python" not in (plan := scan_licenses(df)._jdf.queryExecution().executedPlan().toString()) and "Arrow" not in plan
 
 
+def test_notices_do_not_push_each_other_out(spark):
+    notices = {
+        "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software).",
+        "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+        "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.",
+    }
+    mixes = [("mit",), ("bsd",), ("isc",), ("bsd", "mit"), ("bsd", "isc"), ("isc", "mit"), ("bsd", "isc", "mit")]
+    df = spark.createDataFrame([(i, " Some words of the files. ".join(notices[x] for x in mix)) for i, mix in enumerate(mixes)], "doc_id long, text string")
+    assert {r.doc_id: r.labels for r in scan_licenses(df).collect()} == {i: ",".join(mix) for i, mix in enumerate(mixes)}
+
+
 def test_pseudonyms_keep_format_and_links():
     key = hashlib.blake2b(b"k", digest_size=32).digest()
     text = "card 4111 1111 1111 1111, at 10.2.3.4 on 2024-02-29, +1 (988) 555-2485, ann.b7@mail.example.com, 078-05-1120"

@@ -5,9 +5,10 @@ Method
 Templates of license notices are indexed by word and position. Each text is split once; of its words only those
 of the index that are rare in language at large are kept, with their positions, and the places of key
 phrases. Document frequencies over the whole table give the inverse document frequency of each
-licence word. A text's rarest distinct licence words look up the postings; postings that agree on the
-relative position (text position less template position) vote for a template there. A template is found when
-its votes carry enough of the weight of its rare words, and its mandatory key phrase stands where that
+licence word. In texts with a key phrase, licence words look up the postings; postings that agree on the
+relative position (text position less template position) vote for a template there. Each template counts the rarest
+words that vote for it, whatever other notices the text holds. A template is found when
+its votes carry enough of the weight of its rarest words, and its mandatory key phrase stands where that
 alignment puts it. Nothing is shuffled but the few texts with licence words.
 """
 
@@ -72,9 +73,9 @@ def _named_places(places: Column, words: Column, phrase: str) -> Column:
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rarest: int = 8, coverage: float = 0.6) -> DataFrame:
     """Per row: ``doc_id``, ``n_words``, ``n_base``, ``first_word``, ``last_word``, ``base_labels``, ``labels``, ``score``.
 
-    ``coverage``: share of a template's rare-word weight that its votes must carry. ``score`` is the best
+    ``rarest``: words that a template counts. ``coverage``: share of their weight that its votes must carry. ``score`` is the best
     coverage of a template that is found, else 0; a base phrase alone gives ``coverage``. Null and empty texts have no words: counts 0, no
-    labels (empty strings), no places (null). Ties in rarity go by word. A null id is kept as a row; repeated rows
+    labels (empty strings), no places (null). A null id is kept as a row; repeated rows
     are scanned each; further columns are ignored; an empty table gives no rows.
     """
     phrases = sorted({p for p, _ in BASE} | {key for _, _, key in TEMPLATES})
@@ -105,11 +106,11 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     index = F.create_map(*[x for w in vocabulary for x in (F.lit(w), F.array(*[F.struct(F.lit(t).alias("t"), F.lit(p).alias("p")) for t, p in postings[w]]))])
     mass = {t: sum(sorted((rarity[w] for w in set(ws) - COMMON), reverse=True)[:rarest]) for t, ws, _ in rows_of}
 
-    distinct = F.array_distinct(F.transform("hits", lambda h: h["w"]))
-    ranked = F.transform(F.slice(F.array_sort(F.transform(distinct, lambda w: F.struct((-weight[w]).alias("r"), w.alias("w")))), 1, rarest), lambda x: x["w"])
-    voting = texts.select("uid", "phrases", F.explode(F.filter("hits", lambda h: F.array_contains(ranked, h["w"]))).alias("h"))
+    # only a template whose key phrase stands in the text can be found
+    voting = texts.where(F.size("phrases") > 0).select("uid", F.explode("hits").alias("h"))
     votes = voting.select("uid", "h.i", "h.w", weight[F.col("h.w")].alias("weight"), F.explode(index[F.col("h.w")]).alias("at")).select("uid", F.col("at.t").alias("t"), (F.col("i") - F.col("at.p")).alias("shift"), "w", "weight")
-    carried = votes.groupBy("uid", "t", "shift", "w").agg(F.max("weight").alias("weight")).groupBy("uid", "t", "shift").agg(F.sum("weight").alias("weight"))
+    carried = votes.groupBy("uid", "t", "shift", "w").agg(F.max("weight").alias("weight")).groupBy("uid", "t", "shift").agg(F.sort_array(F.collect_list("weight"), asc=False).alias("weights"))
+    carried = carried.withColumn("weight", F.aggregate(F.slice("weights", 1, rarest), F.lit(0.0), lambda total, x: total + x))
     masses = F.create_map(*[F.lit(x) for t, m in mass.items() for x in (t, m)])
     label_of = F.create_map(*[F.lit(x) for t, (name, _, _) in enumerate(TEMPLATES) for x in (t, name)])
     key_of = F.create_map(*[F.lit(x) for t, _, key in rows_of for x in (t, key)])
