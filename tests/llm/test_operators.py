@@ -213,6 +213,31 @@ def test_pseudonyms_keep_format_and_links():
     assert sorted(pii.permute(i, 97, key, "t") for i in range(97)) == list(range(97))
 
 
+@pytest.mark.parametrize(
+    ("text", "values"),
+    [
+        ("4111 1111 1111 1111 12/26", ["4111 1111 1111 1111"]),
+        ("4111111111111111 123", ["4111111111111111"]),
+        ("12 4111 1111 1111 1111", ["4111 1111 1111 1111"]),
+        ("IBAN DE89 3704 0044 0532 0130 00 BIC", ["DE89 3704 0044 0532 0130 00"]),
+        ("DE89370400440532013000 GB29NWBK60161331926819", ["DE89370400440532013000", "GB29NWBK60161331926819"]),
+        ("+1 (988) 555-2485 +1 (988) 555-2486", ["+1 (988) 555-2485", "+1 (988) 555-2486"]),
+        ("988-555-2485 988-555-2486", ["988-555-2485", "988-555-2486"]),
+        ("2024-02-29 (988) 555-2485", ["2024-02-29", "(988) 555-2485"]),
+        ("+33 1 23 45 67 89", ["+33 1 23 45 67 89"]),
+        ("+49 30 1234567", ["+49 30 1234567"]),
+        ("+49 30 1234567 2024-02-29", ["+49 30 1234567", "2024-02-29"]),
+        ("+442071234567", ["+442071234567"]),
+        ("01 23 45 67 89", ["01 23 45 67 89"]),
+        ("1 2 3 4 5 6 7 8 9 10 11 12 13 14 15", []),
+    ],
+)
+def test_personal_data_beside_other_digits(text, values):
+    key = hashlib.blake2b(b"k", digest_size=32).digest()
+    new, spans = pii.pseudonymise(f"a {text} z", key)
+    assert [f"a {text} z"[s:e] for s, e, _ in spans] == values and all(v not in new for v in values)
+
+
 def test_decontamination_follows_slots(spark):
     item = "Tom has 12 apples and buys 5 kg of flour for 12 dollars at the old market in town today"
     bench = spark.createDataFrame([(7, item)], "item_id long, text string")

@@ -14,7 +14,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -85,10 +85,10 @@ def _iban(m: re.Match, key: bytes) -> str | None:
 
 
 def _phone(m: re.Match, key: bytes) -> str | None:
-    country = m["cc"] or ""
+    country = m["na"] or m["nine"] or m["any"] or m["cc"] or ""
     local = m[0][len(country) :]
     digits = re.sub(r"\D", "", local)
-    if not 7 <= len(digits) <= 12:
+    if not 7 <= len(digits) <= (14 if country else 12):
         return None
     size = 10 ** len(digits)
     fresh = str(permute(int(digits), size, key, "phone", lambda v: (str(v).zfill(len(digits))[0] in "01") == (digits[0] in "01"))).zfill(len(digits))
@@ -154,19 +154,98 @@ def _email(m: re.Match, key: bytes) -> str | None:
     return "".join(reversed(out)) + "@" + domain
 
 
+#: Characters of an IBAN by country (ISO 13616).
+_IBAN_LENGTH = {
+    **dict.fromkeys(("NO",), 15), **dict.fromkeys(("BE",), 16), **dict.fromkeys(("DK", "FI", "FO", "GL", "NL"), 18), **dict.fromkeys(("MK", "SI"), 19),
+    **dict.fromkeys(("AT", "BA", "EE", "KZ", "LT", "LU", "XK"), 20), **dict.fromkeys(("CH", "HR", "LI", "LV"), 21), **dict.fromkeys(("BG", "BH", "CR", "DE", "GB", "GE", "IE", "ME", "RS", "VA"), 22),
+    **dict.fromkeys(("AE", "GI", "IL", "IQ", "TL"), 23), **dict.fromkeys(("AD", "CZ", "ES", "MD", "PK", "RO", "SA", "SE", "SK", "TN", "VG"), 24), **dict.fromkeys(("PT", "ST"), 25), **dict.fromkeys(("IS", "TR"), 26),
+    **dict.fromkeys(("FR", "GR", "IT", "MC", "MR", "SM"), 27), **dict.fromkeys(("AL", "AZ", "BY", "CY", "DO", "GT", "HU", "LB", "PL", "SV"), 28), **dict.fromkeys(("BR", "PS", "QA", "UA"), 29), **dict.fromkeys(("JO", "KW", "MU"), 30), "MT": 31, "LC": 32,
+}
+_ALL = re.compile(r".+", re.DOTALL)
+_IBAN_RUN = re.compile(r"[A-Z0-9](?: ?[A-Z0-9]){14,33}", re.ASCII)
+
+
+def _iban_stretches(text: str, m: re.Match) -> Iterator[tuple[int, int]]:
+    """From the country code on, up to each group's end: first the country's length, then others, longest first."""
+    run = _IBAN_RUN.match(text, m.start())
+    if not run:
+        return
+    ends, n = [], 0
+    for k in range(run.start(), run.end()):
+        n += text[k] != " "
+        if n >= 15 and text[k] != " " and not (text[k + 1 : k + 2].isascii() and (text[k + 1 : k + 2].isalnum() or text[k + 1 : k + 2] == "_")):
+            ends.append((n != _IBAN_LENGTH.get(m[0][:2]), -n, k + 1))
+    yield from ((m.start(), end) for _, _, end in sorted(ends))
+
+
+def _card_stretches(text: str, m: re.Match) -> Iterator[tuple[int, int]]:
+    """The whole run of digits, then stretches of its groups: of 16 digits first, then longer ones, from left to right.
+
+    A part of a run is tried if its groups have three digits or more and one kind of separator, as on cards; tables of small numbers would
+    hold valid check digits everywhere.
+    """
+    yield m.span()
+    groups = [g.span() for g in re.finditer(r"[0-9]+", m[0])]
+    found = []
+    for i, (start, _) in enumerate(groups):
+        n = 0
+        for s, e in groups[i:]:
+            n += e - s
+            if n > 19 or e - s < 3 or len(set(re.sub("[0-9]", "", m[0][start:e]))) > 1:
+                break
+            if n >= 13:
+                found.append((n != 16, -n, m.start() + start, m.start() + e))
+    yield from ((s, e) for _, _, s, e in sorted(found))
+
+
+_STRETCHES = {"iban": _iban_stretches, "card": _card_stretches}
+
+#: Country calling codes, so that a number splits alike with and without separators.
+_CALLING = r"\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[2-9]\d{2})"
+#: With a plus: North American, nine digits (fr, es), any other grouping. Without: the area in brackets or split off, or pairs.
+_PHONE = (
+    r"(?<![\d+])(?:"
+    r"(?P<na>\+1[ .-]?)\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
+    r"|(?P<nine>\+3[34][ .-]?)(?:\(0\)[ .-]?)?[1-9](?:[ .-]?\d){8}(?!\d)"
+    rf"|(?P<any>{_CALLING}[ .-]?)(?:\(\d{{1,5}}\) ?)?\d+(?:[ .-]\d{{2,}}){{0,5}}(?!\d)"
+    r"|(?P<cc>\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\) ?|\d{2,4}[ .-])\d{3,4}(?:[.-]\d{3,4}(?![.-]?\d)| \d{3,4}(?![ .-]?\d))"
+    r"|0[1-9](?:[ .-]\d{2}){4}(?![ .-]?\d))"
+)
+
 #: Kind, pattern, what makes the pseudonym (None: not valid, left as it is). Earlier kinds go first.
 DETECTORS: tuple[tuple[str, re.Pattern, Callable[[re.Match, bytes], str | None]], ...] = (
     ("email", re.compile(r"\b[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}\b", re.ASCII), _email),
-    ("iban", re.compile(r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b", re.ASCII), _iban),
+    ("iban", re.compile(r"\b[A-Z]{2}[0-9]{2}(?= ?[A-Z0-9])", re.ASCII), _iban),
     ("ip", re.compile(r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d.]*\d)", re.ASCII), _address),
     ("date", re.compile(r"(?<![\d/.-])(\d{4}|\d{2})([-/.])(\d{2})\2(\d{4}|\d{2})(?![\d/-]|\.\d)", re.ASCII), _date),
     ("social", re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])", re.ASCII), _social),
-    ("card", re.compile(r"(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d-]*\d)", re.ASCII), _card),
-    ("phone", re.compile(r"(?<![\d+])(?<!\d[ .-])(?P<cc>\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\) ?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?![ .-]?\d)", re.ASCII), _phone),
+    ("card", re.compile(r"(?<![\d-])\d(?:[ -]?\d){12,}", re.ASCII), _card),
+    ("phone", re.compile(_PHONE, re.ASCII), _phone),
 )
 KINDS = tuple(k for k, _, _ in DETECTORS)
 
 
+def _matches(kind: str, pattern: re.Pattern, text: str) -> Iterator[re.Match]:
+    """Matches of the pattern, or the stretches that each of them may hold instead."""
+    for m in pattern.finditer(text):
+        if kind == "phone" and m["any"]:  # longer than a number can be: without its last groups
+            ends = [m.end(), *(m.start() + g.start() for g in reversed(list(re.finditer("[ .-]", m[0]))))]
+            yield next((pattern.fullmatch(text, m.start(), end) for end in ends if sum(c.isdigit() for c in text[m.start() : end]) <= 15), None) or m
+        elif kind in _STRETCHES:
+            for start, end in _STRETCHES[kind](text, m):
+                yield _ALL.fullmatch(text, start, end)
+        else:
+            yield m
+
+
+def _goes_on(text: str, m: re.Match) -> bool:
+    """Whether a number without plus or bracket is the rest of digits before it."""
+    at = m.start()
+    if text[at] in "+(" or at < 2 or text[at - 1] not in " .-" or not text[at - 2].isdigit():
+        return False
+    return text[at - 1] != " " or " " in m[0]
+
+
 def pseudonymise(text: str, key: bytes) -> tuple[str, list[tuple[int, int, str]]]:
     """The text with pseudonyms in place, and the spans (start, end, kind) in it, in code points."""
     if not any(c in text for c in "0123456789@"):
@@ -175,9 +254,15 @@ def pseudonymise(text: str, key: bytes) -> tuple[str, list[tuple[int, int, str]]
     for kind, pattern, make in DETECTORS:
         if kind == "email" and "@" not in text:
             continue
-        for m in pattern.finditer(text):
+        open_text = text
+        if kind in ("card", "phone"):  # runs of digits end where another kind begins
+            for s, e, _, _ in taken:
+                open_text = open_text[:s] + "\0" * (e - s) + open_text[e:]
+        for m in _matches(kind, pattern, open_text):
             if any(m.start() < e and s < m.end() for s, e, _, _ in taken):
                 continue
+            if kind == "phone" and _goes_on(open_text, m):
+                continue
             fresh = make(m, key)
             if fresh is not None:
                 taken.append((*m.span(), kind, fresh))
