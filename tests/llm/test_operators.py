@@ -174,6 +174,16 @@ def test_quality_counts_equal_brute_force(docs):
         assert g.base_failed == (len(w) < 50 or 100 * len(covered) > 50 * len(w)) and not (g.kept and g.base_failed)
 
 
+def test_two_groups_set_different_fences(spark):
+    def text(i, marks):  # words that differ, and this many capitals
+        return " ".join(f"w{chr(97 + k % 26)}{chr(97 + k // 26)}{i}x".upper() if k < marks else f"w{chr(97 + k % 26)}{chr(97 + k // 26)}{i}x" for k in range(100))
+
+    rows = [(1000 * g + i, text(i, top * (i % 10) // 10), "en", f"s{g}") for g, top in ((0, 2), (1, 20)) for i in range(300)]
+    rows += [(5000, text(7, 15), "en", "s0"), (5001, text(7, 15), "en", "s1")]
+    got = {r.doc_id: r.kept for r in apply_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert got[5001] and not got[5000] and all(got[1000 + i] for i in range(300))
+
+
 def test_license_base_equals_brute_force(docs):
     got = {r.doc_id: r for r in scan_licenses(docs).collect()}
     for r in docs.select("doc_id", "text").collect():

@@ -4,9 +4,9 @@ Method
 ------
 Fixed counts per text (words, symbols, repeated lines and word windows) give ratios. Mergeable KLL quantile
 sketches of every ratio are built per language and source in one aggregation and merged per language. A
-group's upper fence for a ratio is its median plus a multiple of the spread above it, no lower than a
-floor and no higher than a ceiling, so that a group of clean texts loses none to a quantile and a group that is
-mostly junk does not set its own standard. A group with few texts uses its language's fence, and
+group's upper fence for a ratio is its ninth decile plus a multiple of that decile's distance from the median, and
+no higher than a ceiling, so that a group that is mostly junk does not set its own standard. Where the two are equal
+there is no spread to go by, and a fixed guard stands in. A group with few texts uses its language's fence, and
 that language the whole table's. Texts are joined to their group's fences; one above any is not kept.
 """
 
@@ -26,7 +26,7 @@ _SYMBOL[list(b"#*$%&|<>")] = True
 _UPPER = np.zeros(256, bool)
 _UPPER[65:91] = True
 
-#: Ratio, lowest and highest fence. Between them the data decides.
+#: Ratio, fence where a group shows no spread, highest fence. Elsewhere the data decides.
 RATIOS = (("symbol_ratio", 0.02, 0.10), ("repeat_ratio", 0.30, 0.50), ("upper_ratio", 0.20, 0.40), ("line_ratio", 0.50, 0.70))
 
 
@@ -85,30 +85,30 @@ def _ratios() -> dict[str, Column]:
     }
 
 
+def _fence(name: str, guard: float, high: float, spread: float) -> Column:
+    middle = F.kll_sketch_get_quantile_double(name, F.lit(0.5))
+    upper = F.kll_sketch_get_quantile_double(name, F.lit(0.9))
+    return F.when(upper > middle, F.least(upper + spread * (upper - middle), F.lit(high))).otherwise(guard)
+
+
 def apply_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", spread: float = 4.0, enough: int = 200) -> DataFrame:
     """Per row: ``doc_id``, ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``, ``base_failed``, ``kept``.
 
     ``base_failed``: fewer than 50 words, or over half of the words in repeated windows. ``spread``: how many
-    times the distance from the median to the third quartile a ratio may lie above the median; ``enough``: texts
+    times the distance from the median to the ninth decile a ratio may lie above that decile; ``enough``: texts
     that a group needs to set its own fences. Null, empty and blank texts have no words and fail. A null
     language or source is a group of its own. A null id is kept as a row; repeated rows are judged each; further
     columns are ignored; an empty table gives no rows.
     """
     rows = measures(docs.withColumnsRenamed({lang_col: "_lang", source_col: "_source"}), id_col, text_col, ["_lang", "_source"])
     rows = stage(rows.withColumns({"base_failed": (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))} | _ratios()), "measures")
-    judged = rows.where(~F.col("base_failed"))
     names = [name for name, _, _ in RATIOS]
-    sketches = stage(judged.groupBy("_lang", "_source").agg(F.count("*").alias("n"), *[F.kll_sketch_agg_double(name).alias(name) for name in names]), "sketches")
+    sketches = stage(rows.groupBy("_lang", "_source").agg(F.count("*").alias("n"), *[F.kll_sketch_agg_double(name).alias(name) for name in names]), "sketches")
     by_lang = sketches.groupBy("_lang").agg(F.sum("n").alias("n"), *[F.kll_merge_agg_double(name).alias(name) for name in names])
     overall = by_lang.agg(F.sum("n").alias("n"), *[F.kll_merge_agg_double(name).alias(name) for name in names])
 
     def fences(sketch: DataFrame, tag: str) -> list[Column]:
-        out = []
-        for name, low, high in RATIOS:
-            middle = F.kll_sketch_get_quantile_double(name, F.lit(0.5))
-            upper = F.kll_sketch_get_quantile_double(name, F.lit(0.75))
-            out.append(F.least(F.greatest(middle + spread * (upper - middle), F.lit(low)), F.lit(high)).alias(f"{name}_{tag}"))
-        return out
+        return [_fence(name, guard, high, spread).alias(f"{name}_{tag}") for name, guard, high in RATIOS]
 
     own = sketches.where(F.col("n") >= enough).select("_lang", "_source", *fences(sketches, "own"))
     of_lang = by_lang.where(F.col("n") >= enough).select("_lang", *fences(by_lang, "lang"))
