@@ -306,6 +306,23 @@ def test_viterbi_equals_dynamic_programming():
         assert np.isclose(own[np.arange(len(own)), path].sum() - 5.0 * (np.diff(path) != 0).sum(), value.max())
 
 
+def test_labels_equal_dynamic_programming():
+    class Model:
+        penalty = 12.0
+
+        def word_scores(self, words, buckets, scripts):
+            return np.array([[10.0, 0.0, 5.1]] * 2 + [[0.0, 10.0, 5.1]] * 2)
+
+    run = next(language_id.runs(language_id.pa.array(["one two three four"])))
+    labels = language_id.label_words(Model(), run)[3]
+    assert labels.tolist() == [0, 0, 1, 1]
+    scores = Model().word_scores(None, None, None)
+    value = scores[0].copy()
+    for row in scores[1:]:
+        value = np.maximum(value, value.max() - 12.0) + row
+    assert np.isclose(scores[np.arange(4), labels].sum() - 12.0, value.max())
+
+
 def test_learned_operators_hold_out_well(spark):
     folder = "/root/testdata/sf0.01"
     labels = {r.doc_id: r for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}

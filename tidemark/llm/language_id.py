@@ -5,7 +5,7 @@ Method
 The script of a word's first letter narrows the candidates to the languages that training texts write in
 it. A word's score for each candidate is the sum of log shares of its hashed byte 2- to 4-grams and of the
 word itself, centred over the languages. Viterbi finds the best label sequence of the words with a
-penalty for each switch. A text whose best single language is nowhere beaten by more than the penalty over
+penalty for each switch. A text whose best single language is nowhere beaten by more than half the penalty over
 any stretch of words has a constant best path, which is found without stepping; only the others are
 stepped through, many texts at once. The text's language is the one that labels most of its letters.
 """
@@ -178,7 +178,8 @@ def label_words(model: LanguageModel, run: Run) -> tuple[np.ndarray, np.ndarray,
     excess = np.zeros(run.n)
     for j in range(scores.shape[1]):
         excess = np.maximum(excess, _segment_excess(scores[:, j] - mine, first))
-    mixed = np.flatnonzero((excess > model.penalty) & (counts > 1))
+    # m stretches gain at most m times the excess and pay for m - 1 switches
+    mixed = np.flatnonzero((2 * excess > model.penalty) & (counts > 1))
     if len(mixed):
         for i, path in _viterbi(scores, first, mixed, model.penalty).items():
             labels[first[i] : first[i + 1]] = path
