@@ -164,7 +164,7 @@ def _viterbi(scores: np.ndarray, first: np.ndarray, chosen: np.ndarray, penalty:
 
 
 def label_words(model: LanguageModel, run: Run) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words of a run and the language index of each."""
+    """Words of a run and the language index of each, -1 in a script that no training text uses."""
     starts, ends, first, scripts, words, buckets = grams(run)
     scores = model.word_scores(words, buckets, scripts)
     counts = np.diff(first)
@@ -183,9 +183,21 @@ def label_words(model: LanguageModel, run: Run) -> tuple[np.ndarray, np.ndarray,
     if len(mixed):
         for i, path in _viterbi(scores, first, mixed, model.penalty).items():
             labels[first[i] : first[i + 1]] = path
+    labels[_unlearned(model, run, starts, ends, scripts)] = -1
     return starts, ends, first, labels
 
 
+def _unlearned(model: LanguageModel, run: Run, starts: np.ndarray, ends: np.ndarray, scripts: np.ndarray) -> np.ndarray:
+    """Words whose first letter is of a script that no training text uses; marks and symbols are none."""
+    known = model.allowed.any(axis=1)
+    out = []
+    for w in np.flatnonzero(~known[scripts]).tolist():
+        letter = next((c for c in run.data[starts[w] : ends[w]].tobytes().decode("utf-8", "replace") if c.isalpha()), None)
+        if letter is not None and not known[_OF_RANGE[np.searchsorted(_BOUNDS, ord(letter), "right") - 1]]:
+            out.append(w)
+    return np.array(out, np.int64)
+
+
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 600, penalty: float = 12.0) -> LanguageModel:
     """Count grams over about ``per_language`` texts of each language, outside the held-out fold.
 
@@ -230,7 +242,8 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
     """Per row: ``doc_id``, ``held_out``, ``lang_pred``, ``score`` and, if asked for, ``spans``.
 
     ``score`` is the share of the text's letters (bytes of its words) that carry the predicted label;
-    ``spans`` are stretches (start, end, lang) in bytes of the UTF-8 text. A null text or one without a letter
+    ``spans`` are stretches (start, end, lang) in bytes of the UTF-8 text. Words in a script that no training text
+    uses carry no label. A null text, one without a letter or without a labelled word
     gets ``und`` and 0. Ties go to the language first in order of name. A null id is kept and not held out;
     repeated rows are labelled each; further columns are ignored; an empty table gives no rows.
     """
@@ -249,14 +262,18 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
                 if lo == hi or (not (LOWER[own] - np.uint8(97) < 26).any() and not any(c.isalpha() for c in own.tobytes().decode("utf-8", "replace"))):
                     names.append(UNKNOWN), scores.append(0.0), stretches.append([])
                     continue
-                weight = np.bincount(labels[lo:hi], length[lo:hi], len(model.languages))
+                sure = labels[lo:hi] >= 0
+                if not sure.any():
+                    names.append(UNKNOWN), scores.append(0.0), stretches.append([])
+                    continue
+                weight = np.bincount(labels[lo:hi][sure], length[lo:hi][sure], len(model.languages))
                 best = int(weight.argmax())
                 names.append(model.languages[best])
-                scores.append(float(weight[best] / weight.sum()))
+                scores.append(float(weight[best] / length[lo:hi].sum()))
                 if kept:
                     cut = np.flatnonzero(np.diff(labels[lo:hi])) + 1
                     base = int(run.offsets[i])
-                    stretches.append([{"start": int(starts[lo + a]) - base, "end": int(ends[lo + b - 1]) - base, "lang": model.languages[labels[lo + a]]} for a, b in zip(np.r_[0, cut], np.r_[cut, hi - lo], strict=True)])
+                    stretches.append([{"start": int(starts[lo + a]) - base, "end": int(ends[lo + b - 1]) - base, "lang": model.languages[labels[lo + a]]} for a, b in zip(np.r_[0, cut], np.r_[cut, hi - lo], strict=True) if labels[lo + a] >= 0])
         columns = [batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())]
         if kept:
             columns.append(pa.array(stretches, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))))

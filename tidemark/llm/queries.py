@@ -97,10 +97,10 @@ ORACLE: dict[str, str] = {}
 
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents whose language is known: neither without letters nor of a score below one third."""
+    """Documents whose language is known: most of their letters carry one language."""
     model = language_id.train(docs)
     tagged = docs.withColumn("_row", F.monotonically_increasing_id())
-    known = language_id.identify(tagged, model, id_col="_row").where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= 1 / 3))
+    known = language_id.identify(tagged, model, id_col="_row").where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") > 0.5))
     return tagged.join(known.select("_row"), "_row", "left_semi").drop("_row")
 
 
