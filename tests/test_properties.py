@@ -15,7 +15,7 @@ from tidemark.functions import outside_domain
 from tidemark.operators.cleanse import quarantine
 from tidemark.operators.combine import spine_join
 from tidemark.operators.dedup import collapse_duplicates, dedup_report
-from tidemark.operators.ranking import global_ranks, order_bucket, topk_per_group
+from tidemark.operators.ranking import global_ranks, number_rows, split_by_range, topk_per_group
 from tidemark.operators.temporal import asof_join
 
 FEW = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
@@ -72,11 +72,40 @@ def test_global_rank_is_sql_rank(spark, values):
 
 
 @FEW
-@given(st.lists(st.floats(-1e15, 1e15), min_size=2, max_size=60))
-def test_order_bucket_never_falls(spark, values):
-    df = spark.createDataFrame([(v,) for v in sorted(values)], "v double")
-    found = [r["b"] for r in df.select("v", order_bucket(F.col("v")).alias("b")).collect()]
-    assert found == sorted(found)
+@given(st.lists(st.tuples(st.sampled_from([None, 3, 3, 3, -2, 9]) | cents, st.none() | cents), min_size=1, max_size=40))
+def test_global_ranks_of_two_metrics(spark, values):
+    df = spark.createDataFrame([(i, a, b, f"x{i}") for i, (a, b) in enumerate(values)], "k int, a int, b int, kept string")
+    out = {r["k"]: r for r in global_ranks(df.repartition(3), ["k"], ["a", "b"], ["ra", "rb"]).collect()}
+    for i, pair in enumerate(values):
+        want = [None if v is None else 1 + sum(x[m] is not None and x[m] > v for x in values) for m, v in enumerate(pair)]
+        assert [out[i]["ra"], out[i]["rb"]] == want and out[i]["kept"] == f"x{i}" and (out[i]["a"], out[i]["b"]) == pair
+
+
+@FEW
+@given(st.lists(st.sampled_from(["b", "a", "é", None, "B"]), max_size=30))
+def test_numbers_follow_the_order(spark, values):
+    df = spark.createDataFrame(list(enumerate(values)), "k int, v string")
+    out = sorted(number_rows(df, [F.asc_nulls_last("v")], ["k"], "n").collect(), key=lambda r: r["n"])
+    assert [r["n"] for r in out] == list(range(1, len(values) + 1))
+    assert [r["v"] for r in out] == sorted((v for v in values if v is not None), key=lambda v: v.encode()) + [None] * values.count(None)
+
+
+@pytest.mark.parametrize("shape", ["narrow", "one value", "null"])
+def test_ranges_are_of_equal_size_whatever_the_values(spark, shape):
+    """100,000 narrow values, one value that half the rows hold, and NULL for half: no range is far above the mean."""
+    value = {"narrow": "1e9 + id * 1e-3", "one value": "if(id % 2 = 0, 7, id)", "null": "if(id % 2 = 0, null, id)"}[shape]
+    df = spark.range(100_000).selectExpr("id", f"cast({value} as decimal(20,4)) as v")
+    with_aqe = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in split_by_range(df, [F.desc_nulls_last("v")], ["id"]).groupBy("__range").count().collect()]
+        assert len(sizes) == 4 and max(sizes) < 1.5 * 25_000
+        ranks = global_ranks(df, ["id"], ["v"], ["r"])
+        greatest, ties = ranks.agg(F.max("r"), F.max(F.when(F.col("v") == 7, F.col("r")))).first()
+        assert greatest == {"narrow": 100_000, "one value": 100_000, "null": 50_000}[shape]
+        assert ties == {"narrow": None, "one value": 49_997, "null": 49_997}[shape]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", with_aqe)
 
 
 @FEW

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import stage
+
 
 def _descending(order: str, tie_breakers: Sequence[str]) -> list[Column]:
     return [F.desc_nulls_last(order), *[F.asc_nulls_last(t) for t in tie_breakers]]
@@ -44,23 +46,39 @@ def topk_entities_history(
     return rows.join(leaders, entity, "left_semi")
 
 
-def order_bucket(value: Column, resolution: int = 1024) -> Column:
-    """Bucket number that never falls as the value rises, from the value alone.
+def split_by_range(df: DataFrame, order: Sequence[Column], salt: Sequence[str]) -> DataFrame:
+    """``df`` cut into ranges of ``order`` of about equal size, numbered upwards in ``__range``.
 
-    Buckets have equal width in the logarithm of the magnitude, so there are at most
-    ``2 * resolution * 1024`` of them whatever the data.
+    The boundaries are drawn from the data, and rows that tie are told apart by a hash of ``salt``, so neither
+    values that lie close together nor one value that most rows share makes a large range. Write the result
+    before it is read twice: another run may draw other boundaries.
     """
-    x = value.cast("double")
-    size = F.floor(F.log2(F.abs(x) + 1) * resolution).cast("bigint")
-    return F.when(x < 0, -size).otherwise(size)
+    dealt = df.withColumn("__salt", F.xxhash64(*salt)).repartitionByRange(*order, F.col("__salt"))
+    return dealt.withColumn("__range", F.spark_partition_id())
+
+
+def _above(sizes: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Adds ``__before``, the rows of earlier ranges, to ``sizes``, which has one row for each range."""
+    earlier = Window.partitionBy(*by).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.withColumn("__before", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
+
+
+def number_rows(df: DataFrame, order: Sequence[Column], key: Sequence[str], name: str = "numero") -> DataFrame:
+    """Numbers the rows from 1 in ``order``, ties by a hash of ``key``, without one task seeing them all."""
+    inside = Window.partitionBy("__range").orderBy(*order, "__salt", *key)
+    placed = stage(split_by_range(df, order, key).withColumn("__inside", F.row_number().over(inside)), "numbered")
+    sizes = _above(placed.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))).select("__range", "__before")
+    # as many rows as there are ranges, which is the number of shuffle partitions at most
+    numbered = placed.join(F.broadcast(sizes), "__range")
+    return numbered.withColumn(name, F.col("__before") + F.col("__inside")).drop("__range", "__salt", "__inside", "__before")
 
 
 def global_ranks(df: DataFrame, entity: Sequence[str], metrics: Sequence[str], names: Sequence[str]) -> DataFrame:
     """SQL RANK, highest first, of each metric over the whole table, without one task seeing it all.
 
-    Equal values are counted together first; the count of values ahead is then the count in
-    higher buckets (a table of bounded size) plus a running count inside the bucket. All metrics
-    go through the same pass. ``entity`` is the key of ``df``; a NULL metric gets a NULL rank.
+    The values of all metrics are cut into ranges of about equal size. A row's rank is the count of rows in higher
+    ranges plus its rank in its own; a value that goes over the end of a range takes the rank of the range where it starts.
+    ``entity`` is the key of ``df``; a NULL metric gets a NULL rank.
     """
     rest = [c for c in df.columns if c not in entity]
     n = len(metrics)
@@ -73,17 +91,21 @@ def global_ranks(df: DataFrame, entity: Sequence[str], metrics: Sequence[str], n
         for i, m in enumerate(metrics)
     ]
     melted = df.select(*entity, F.inline(F.array(*cells)))
-    counts = melted.filter(F.col("__v").isNotNull()).groupBy("__m", "__v").agg(F.count(F.lit(1)).alias("__n"))
-    counts = counts.withColumn("__b", order_bucket(F.col("__v")))
-    higher = Window.partitionBy("__m").orderBy(F.desc("__b")).rowsBetween(Window.unboundedPreceding, -1)
-    buckets = counts.groupBy("__m", "__b").agg(F.sum("__n").alias("__k"))
-    buckets = buckets.select("__m", "__b", F.coalesce(F.sum("__k").over(higher), F.lit(0)).alias("__above"))
-    greater = Window.partitionBy("__m", "__b").orderBy(F.desc("__v")).rowsBetween(Window.unboundedPreceding, -1)
-    inside = F.coalesce(F.sum("__n").over(greater), F.lit(0))
-    ranks = counts.withColumn("__in", inside).join(buckets, ["__m", "__b"])
-    ranks = ranks.select("__m", "__v", (F.col("__above") + F.col("__in") + 1).alias("__rank"))
-    ranked = melted.join(ranks, ["__m", "__v"], "left")
-    back = ranked.groupBy(*entity).agg(
+    highest = F.desc_nulls_last("__v")
+    own = Window.partitionBy("__m", "__range").orderBy(highest)
+    ranges = split_by_range(melted, [F.col("__m"), highest], entity).withColumn("__own", F.rank().over(own))
+    placed = stage(ranges.drop("__salt"), "ranks")
+    valued = placed.filter(F.col("__v").isNotNull()).groupBy("__m", "__range")
+    sizes = valued.agg(F.count(F.lit(1)).alias("__n"), F.max("__v").alias("__hi"), F.min("__v").alias("__lo"), F.max("__own").alias("__last"))
+    ends = _above(sizes, ["__m"])
+    # only the greatest and the least value of a range can also stand in another one; the least has the last rank
+    values = [F.struct(F.col(v).alias("__v"), (F.col("__before") + at).alias("__start")) for v, at in (("__hi", F.lit(1)), ("__lo", F.col("__last")))]
+    starts = ends.select("__m", F.inline(F.array(*values))).groupBy("__m", "__v").agg(F.min("__start").alias("__start"))
+    # one row for each range and two, and no more ranges than shuffle partitions
+    before = F.broadcast(ends.select("__m", "__range", "__before"))
+    ranked = placed.join(before, ["__m", "__range"], "left").join(F.broadcast(starts), ["__m", "__v"], "left")
+    rank = F.coalesce("__start", F.when(F.col("__v").isNotNull(), F.col("__before") + F.col("__own")))
+    back = ranked.withColumn("__rank", rank).groupBy(*entity).agg(
         F.first("__row", ignorenulls=True).alias("__row"),
         *[F.max(F.when(F.col("__m") == i, F.col("__rank"))).alias(names[i]) for i in range(n)],
     )
