@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 from tidemark.llm import language_id, quality_model, toxicity
 from tidemark.llm.common import table
 from tidemark.llm.decontaminate import contaminated
+from tidemark.llm.hard_negatives import mine_hard_negatives
 from tidemark.llm.licenses import scan_licenses
+from tidemark.llm.mixing import mix_sources
 from tidemark.llm.near_dedup import near_duplicates
 from tidemark.llm.packing import pack
 from tidemark.llm.pii import replace_personal_data
 from tidemark.llm.quality_rules import apply_rules
 from tidemark.llm.secrets import find_secrets
+from tidemark.llm.whitening import whiten
 
 #: The vocabulary that op5 packs by, as its public package names it.
 TOKENIZER = "word_bpe_49k.json"
@@ -75,6 +78,21 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return apply_rules(table(spark, folder, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(table(spark, folder, "embeddings"), anchors=lambda vec_id: vec_id % 100 == 0, label=moved)
+
+
+def op12_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    return mix_sources(table(spark, folder, "documents"), weights=(5, 2, 1), most=3)
+
+
+def op13_whiten(spark: SparkSession, folder: str) -> DataFrame:
+    """A deviation beyond a long is null; the operator's own is a decimal."""
+    white = whiten(table(spark, folder, "embeddings"), scale=1024.0, shift=100_000, components=8)
+    return white.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 _OPERATORS = (
     op1_near_dedup,
     op2_quality_model,
@@ -86,11 +104,38 @@ _OPERATORS = (
     op8_pii,
     op9_secrets,
     op10_quality_rules,
+    op11_hard_negatives,
+    op12_mix_sources,
+    op13_whiten,
 )
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _OPERATORS}
 
 #: Where SQL can express the whole result; the others are tested against brute force.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op11_hard_negatives": """
+        WITH entries AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+        ),
+        scored AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+                   CAST(list_sum(list_transform(list_zip(a.x, b.x), lambda p: p[1] * p[2])) AS BIGINT) AS score
+            FROM entries a JOIN entries b ON a.vec_id <> b.vec_id
+            WHERE a.vec_id % 100 = 0
+        ),
+        positives AS (
+            SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+        )
+        SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.id) AS INTEGER) AS rank,
+               n.id AS negative_id, p.positive_score, n.score AS negative_score
+        FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+             AND 80 * p.positive_score <= 100 * n.score AND 100 * n.score <= 100 * p.positive_score
+        QUALIFY rank <= 5
+    """,
+}
 
 
 # Stages of corpus_pipeline.py: documents in, documents out, but for the last.
