@@ -290,7 +290,8 @@ def _search(windows: DataFrame, blocks: DataFrame, index: Index, same: bool, mos
             yield given(_best(held, most))
 
     packed = blocks.select("cell", F.col("ids").alias("bids"), F.col("labels").alias("blabels"), F.col("x").alias("bx"))
-    met = _visits(windows, index, rows).join(packed, "cell").drop("cell")
+    # visits are up to as many times larger than the anchors as there are cells, which no estimate of their size knows
+    met = _visits(windows, index, rows).hint("merge").join(packed, "cell").drop("cell")
     found = met.mapInArrow(of, "anchor long, slot long, score long, id long")
     order = Window.partitionBy("anchor", "slot").orderBy(F.desc("score"), "id")
     return stage(found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most), "found")
