@@ -27,7 +27,7 @@ from tidemark.operators.ranking import number_rows
 from tidemark.session import stage
 
 #: Documents of one source and size that are ordered together, about; and the most buckets that such a class is dealt to.
-BUCKET, BUCKETS = 4096, 4096
+BUCKET, BUCKETS = 512, 4096
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
