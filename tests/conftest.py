@@ -8,7 +8,7 @@ def spark(tmp_path_factory):
     import os
 
     os.environ.setdefault("TIDEMARK_DRIVER_MEMORY", "4g")
-    session = build_session("tests", "local[4]", 4)
+    session = build_session("tests", "local[4]", 4, str(tmp_path_factory.mktemp("shared")))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

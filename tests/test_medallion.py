@@ -108,24 +108,31 @@ def test_rules_find_the_defects(built):
     store, *_ = built
     found = status(store)
     value = lambda table, rule: (found[table, rule]["valor_num"], found[table, rule]["status"])
-    assert value("bronze.companies", "Coenti sem espaços") == (5, "ALERTA")
-    assert value("bronze.companies", "Cogrupo preenchido") == (100, "ALERTA")
-    assert value("bronze.companies", "charset windows-1252") == (0, "OK")
-    assert found["bronze.companies", "charset UTF-8"]["valor_num"] == 2
-    assert value("bronze.*", "um nome por conceito") == (3, "ALERTA")
-    assert value("silver.contributions", "contrib numérico") == (1, "FALHA")
-    assert value("silver.contributions", "benef numérico") == (1, "FALHA")
-    assert value("silver.contributions", "mês AAAAMM válido") == (1, "FALHA")
-    assert found["silver.contributions", "contribuição >= 0"]["valor"] == "1 / -250.00"
-    assert found["silver.portability", "direção em ['D', 'R']"]["valor"] == "3 / 6000.00"
-    assert value("silver.portability", "produto preenchido") == (1, "ALERTA")
-    assert value("silver.portability", "média >= 100") == (8, "ALERTA")
-    assert found["silver.redemptions", "remoção conserva totais"]["status"] == "OK"
-    assert found["silver.redemptions", "grão constante"]["valor"] == "201306"
-    assert found["bronze.redemptions_vgbl", "colunas documentadas"]["valor"] == "Resg_Pag_programado"
-    assert found["silver.stock", "estoque > 0"]["valor_num"] == 1
-    assert found["silver.company_group_month", "sem cópias exatas"]["valor_num"] == 1
-    assert found["silver.company_group_month", "grupo muda no tempo"]["valor_num"] == 1
+    assert value("bronze.companies", "Coenti sem espaços nas pontas") == (5, "ALERTA")
+    assert value("bronze.companies", "Cogrupo traz valores") == (100, "ALERTA")
+    assert value("bronze.companies", "leitura em windows-1252") == (0, "OK")
+    assert found["bronze.companies", "leitura em UTF-8"]["valor_num"] == 2
+    assert value("bronze.*", "grafia única da chave") == (3, "ALERTA")
+    assert value("silver.contributions", "contrib em formato de número") == (1, "FALHA")
+    assert value("silver.contributions", "benef em formato de número") == (1, "FALHA")
+    assert value("silver.contributions", "mês interpretável") == (1, "FALHA")
+    assert found["silver.contributions", "contribuição sem sinal negativo"]["valor"] == "1 / -250.00"
+    assert found["silver.portability", "direção conhecida"]["valor"] == "3 / 6000.00"
+    assert found["silver.portability", "produto informado"]["valor"].startswith("1 / ")
+    assert found["silver.portability", "produto informado"]["status"] == "ALERTA"
+    assert value("silver.portability", "valor médio a partir de 100") == (8, "ALERTA")
+    assert found["silver.redemptions", "cópias retiradas nada valem"]["status"] == "OK"
+    assert found["silver.redemptions", "uma linha por chave em todo mês"]["valor"] == "201306"
+    assert found["bronze.redemptions_vgbl", "cabeçalho conhecido"]["valor"] == "Resg_Pag_programado"
+    assert found["silver.stock", "estoque com saldo"]["valor_num"] == 1
+    assert found["silver.company_group_month", "nenhuma linha repetida"]["valor_num"] == 1
+    assert found["silver.company_group_month", "histórico de grupo por empresa"]["valor_num"] == 1
+    # what offends is named with the counts
+    assert found["silver.portability", "direção conhecida"]["evidencia"]
+    assert sum(int(x.split(": ")[1]) for x in found["silver.portability", "direção conhecida"]["evidencia"].split(", ")) == 3
+    assert found["silver.contributions", "produto conhecido"]["evidencia"] == ""
+    assert found["silver.contributions", "produtos da análise: VGBL, PGBL"]["evidencia"]
+    assert found["silver.contributions", "contrib em formato de número"]["evidencia"] is None
     outlier = [r for (t, _), r in found.items() if r["dimensao"] == "Outliers"]
     assert [r["valor_num"] for r in outlier] == [1]
 
@@ -169,6 +176,44 @@ def test_gold_rules_pass_and_a_rerun_does_not_double_them(built):
     assert {r["status"] for r in before.values()} == {"OK"}
 
 
+def test_gold_rules_scan_each_fact_once(built, monkeypatch):
+    """Fifteen scans of the facts in the rules before; a failed rule now leaves the stored star as it was."""
+    from dataclasses import replace
+
+    import tidemark.plans.medallion as m
+
+    store, s, *_ = built
+    plans = []
+    kept = m.stage
+
+    def seen(df, label="stage"):
+        if label == "gold-results":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return kept(df, label)
+
+    monkeypatch.setattr(m, "stage", seen)
+    spark = store.spark
+    spark.conf.set("spark.sql.maxMetadataStringLength", 4000)
+    before = store.read("gold", "flow_fact").count()
+    with pytest.raises(QualityFailure):
+        build_gold(store, replace(s, end="2015-03-01", max_unknown_share_pct=1))
+    assert store.read("gold", "flow_fact").count() == before
+    assert not [t for t in (r["tableName"] for r in store.list_tables("gold").collect()) if "__" in t]
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    places = [p for p in plans[0].split("Location: ")[1:]]
+    assert sum("/flow_fact__fresh" in p.split("]")[0] for p in places) == 1
+    assert sum("/stock_fact__fresh" in p.split("]")[0] for p in places) == 1
+    build_gold(store, s)
+
+
+def test_builds_leave_no_staged_files(built, spark):
+    import os
+
+    from tidemark.session import shared_folder
+
+    assert not [d for d in os.listdir(shared_folder(spark)) if d.startswith("block-")]
+
+
 def test_answers(built):
     store, s, e, _ = built
     money = Money(1.0, 2, "")
@@ -210,7 +255,7 @@ def test_catalog_describes_every_column(built):
     assert found["silver.quarantine", "registro_json"]["dominio_observado"] == "JSON"
     assert found["silver.contributions", "vl_contribuicao"]["pct_nulos"] > 0
     described = {r["col_name"]: r["comment"] for r in store.describe("gold", "flow_fact").collect()}
-    assert described["mes_ref"] == "Reference month, as its first day."
+    assert described["mes_ref"] == "First day of the month that the row is about, as a date."
     assert store.list_tables("gold").count() == 8
 
 

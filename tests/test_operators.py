@@ -367,13 +367,13 @@ def test_suite(spark, rows):
         "sum2": ("6", 6.0, "OK"),
         "max": ("max 3", 3.0, "INFO"),
         "small": ("3", 3.0, "ALERTA"),
-        "chave única ['k']": ("1", 1.0, "FALHA"),
-        "k existe em dim": ("1", 1.0, "FALHA"),
-        "k existe em dim2": ("2", 2.0, "ALERTA"),
+        "uma linha por k": ("1", 1.0, "FALHA"),
+        "k consta em dim": ("1", 1.0, "FALHA"),
+        "k consta em dim2": ("2", 2.0, "ALERTA"),
     }
     with pytest.raises(QualityFailure, match="sum = 6"):
         DQSuite.enforce(suite.results())
-    assert suite.results().columns == ["camada", "tabela", "dimensao", "regra", "metrica", "valor", "valor_num", "esperado", "status", "acao", "ts_execucao"]
+    assert suite.results().columns == ["camada", "tabela", "dimensao", "regra", "metrica", "valor", "valor_num", "esperado", "status", "acao", "evidencia", "ts_execucao"]
     assert DQSuite(spark, "GOLD").results().count() == 0
 
 
@@ -434,3 +434,46 @@ def test_profile_and_catalog(rows):
     assert (found["n"]["camada"], found["n"]["descricao_tabela"], found["n"]["linhagem"], found["n"]["tipo"]) == ("SILVER", "about", "from", "int")
     assert undocumented(cat).count() == 5
     assert profile_columns(df.select("n")).first()["valores"] == []
+
+
+# --- one-pass tests ---------------------------------------------------------------------------
+
+
+def test_table_audit_counts_key_references_and_totals(rows):
+    from tidemark.operators.star import orphan_report, table_audit
+
+    fact = rows([(1, "x", 10.0), (1, "x", 5.0), (2, "y", 1.0), (3, None, 2.0)], "k int, d string, v double").withColumn("v", F.col("v").cast("decimal(20,2)"))
+    known = rows([("x",), ("z",)], "d string")
+    got = table_audit(fact, ["k"], {"d": (known, "d")}, ["v"]).first().asDict()
+    assert {k: float(v) for k, v in got.items()} == {"duplicadas": 1, "orfaos_d": 2, "total_v": 18}
+    # a reference that is also the key, a key of two columns, and no rows
+    assert table_audit(fact, ["d"], {"d": (known, "d")}).first() == (1, 2)
+    assert table_audit(fact, ["k", "d"], {"k": (rows([(1,), (2,)], "i int"), "i"), "d": (known, "d")}).first() == (1, 1, 2)
+    assert [float(v) for v in table_audit(fact.limit(0), ["k"], {"d": (known, "d")}, ["v"]).first()] == [0, 0, 0]
+    report = orphan_report(fact, {"f.d": ("d", known, "d"), "f.k": ("k", rows([(9,)], "n int"), "n")}).collect()
+    assert {r["referencia"]: r["orfaos"] for r in report} == {"f.d": 2, "f.k": 4}
+    assert {r["orfaos"] for r in orphan_report(fact.limit(0), {"f.d": ("d", known, "d")}).collect()} == {0}
+
+
+def test_suite_reads_a_relation_once_and_keeps_what_is_known(spark, rows):
+    from tidemark.operators.quality import DQSuite, Rule, domain_rule, zero
+
+    one = rows([(1, 0)], "a int, b int")
+    suite = DQSuite(spark, "GOLD").relation("t", one, Rule("D", "a", "m", F.col("a"), zero())).relation("u", one, Rule("D", "b", "m", F.col("b"), zero()))
+    suite.counted_key("t", ["k", "j"], 3)
+    codes = rows([("a",), ("b",), ("b",), (None,), ("ok",)], "c string")
+    bad = (F.col("c") != "ok") | F.col("c").isNull()
+    suite.row("t", codes, domain_rule("D", "c", "m", "c", bad, zero(), k=2))
+    found = {r["regra"]: r for r in suite.results().collect()}
+    assert (found["a"]["status"], found["b"]["status"], found["b"]["tabela"]) == ("FALHA", "OK", "u")
+    assert (found["uma linha por k, j"]["valor_num"], found["uma linha por k, j"]["status"]) == (3, "FALHA")
+    assert (found["c"]["valor_num"], found["c"]["evidencia"]) == (4, "b: 2, NULL: 1")
+    text = suite.results()._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("LocalRelation") + text.count("LogicalRDD") <= 4
+
+
+def test_first_values_are_bounded(rows):
+    from tidemark.operators.ranking import first_values
+
+    df = rows([("g", x) for x in "dacbca"] + [("h", None), ("h", "z"), ("i", None)], "k string, v string")
+    assert {r["k"]: r["s"] for r in first_values(df, ["k"], "v", 3, "s").collect()} == {"g": ["a", "b", "c"], "h": ["z"]}

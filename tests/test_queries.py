@@ -51,6 +51,19 @@ def test_period_reaches_the_scan(spark):
     assert "GreaterThanOrEqual(l_shipdate" in plan(QUERIES["j3_full_outer"](spark, FOLDER))
 
 
+def test_no_set_is_gathered_from_raw_rows(spark):
+    for name in ("a6_distinct_set", "f6_collection"):
+        text = plan(QUERIES[name](spark, FOLDER))
+        assert "collect_set" not in text and text.count("WindowGroupLimit") >= 2
+
+
+def test_one_scan_for_all_references_of_a_table(spark):
+    scanned = [f for f in scans(QUERIES["d31_fk"](spark, FOLDER)) if "l_suppkey" in f or "l_orderkey" in f]
+    assert len(scanned) == 1
+    assert len([f for f in scans(QUERIES["d31_audit"](spark, FOLDER)) if "l_suppkey" in f]) == 1
+    assert all(plan(QUERIES[q](spark, FOLDER)).count("FileScan parquet") == 1 for q in ("d13_outside_codes", "d10_evidence"))
+
+
 def test_topk_is_cut_before_the_shuffle(spark):
     assert plan(QUERIES["w6_position"](spark, FOLDER)).count("WindowGroupLimit") >= 2
 

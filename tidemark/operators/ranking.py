@@ -26,6 +26,18 @@ def topk_per_group(
     return df.withColumn(position, F.row_number().over(w)).filter(F.col(position) <= k)
 
 
+def first_values(df: DataFrame, by: Sequence[str], value: str, k: int, out: str) -> DataFrame:
+    """The first ``k`` distinct values of each group, rising, as an array; NULL is no value.
+
+    Pairs are made distinct before anything is gathered, and each map task then keeps ``k`` values of a group before the
+    shuffle, so no array ever holds more.
+    """
+    pairs = df.select(*by, value).filter(F.col(value).isNotNull()).distinct()
+    first = Window.partitionBy(*by).orderBy(F.asc(value))
+    kept = pairs.withColumn("__pos", F.row_number().over(first)).filter(F.col("__pos") <= k)
+    return kept.groupBy(*by).agg(F.array_sort(F.collect_list(value)).alias(out))
+
+
 def top_rows(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 

@@ -122,13 +122,63 @@ def primary_key_report(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) ->
     return union_all([duplicate_keys(df, keys).select(F.lit(t).alias("tabela"), "duplicadas") for t, (df, keys) in tables.items()])
 
 
+def _known_values(references: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """The keys of all parents ``{reference: (parent, parent column)}``, stacked, as text."""
+    from tidemark.operators.cleanse import union_all
+
+    stacked = [parent.select(F.lit(name).alias("__ref"), F.col(target).cast("string").alias("__value")) for name, (parent, target) in references.items()]
+    return union_all(stacked).distinct().withColumn("__known", F.lit(True))
+
+
+def orphan_report(child: DataFrame, references: Mapping[str, tuple[str, DataFrame, str]]) -> DataFrame:
+    """Rows of one table without a parent, for all its references ``{name: (column, parent, parent column)}``, from one scan.
+
+    The table's distinct (reference, value) pairs, counted before they are shuffled, meet the stacked keys of all parents in
+    one join. A NULL has no parent. One row for each reference, 0 included.
+    """
+    cells = [F.struct(F.lit(name).alias("__ref"), F.col(c).cast("string").alias("__value")) for name, (c, _, _) in references.items()]
+    pairs = child.select(F.inline(F.array(*cells))).groupBy("__ref", "__value").agg(F.count(F.lit(1)).alias("__n"))
+    met = pairs.join(_known_values({n: (parent, target) for n, (_, parent, target) in references.items()}), ["__ref", "__value"], "left")
+    lost = [F.coalesce(F.sum(F.when((F.col("__ref") == n) & F.col("__known").isNull(), F.col("__n"))), F.lit(0)).alias(f"o{i}") for i, n in enumerate(references)]
+    rows = [F.struct(F.lit(n).alias("referencia"), F.col(f"o{i}").alias("orfaos")) for i, n in enumerate(references)]
+    return met.agg(*lost).select(F.inline(F.array(*rows)))
+
+
 def foreign_key_report(references: Mapping[str, tuple[DataFrame, str, DataFrame, str]]) -> DataFrame:
-    """Rows without a parent, one row per reference ``{name: (child, column, parent, parent column)}``."""
+    """Rows without a parent, one row per reference ``{name: (child, column, parent, parent column)}``; each child frame is scanned once."""
     from tidemark.operators.cleanse import union_all
-    from tidemark.operators.combine import orphan_rows
 
-    checked = []
+    children: dict[int, tuple[DataFrame, dict[str, tuple[str, DataFrame, str]]]] = {}
     for name, (child, column, parent, target) in references.items():
-        keys = parent.select(F.col(target).alias(column))
-        checked.append(orphan_rows(child, keys, column).select(F.lit(name).alias("referencia"), "orfaos"))
-    return union_all(checked)
+        children.setdefault(id(child), (child, {}))[1][name] = (column, parent, target)
+    return union_all([orphan_report(child, own) for child, own in children.values()])
+
+
+def table_audit(
+    df: DataFrame, keys: Sequence[str], references: Mapping[str, tuple[DataFrame, str]] | None = None, measures: Sequence[str] = ()
+) -> DataFrame:
+    """One row about a table from one scan of it: ``duplicadas``, ``orfaos_<column>`` and ``total_<measure>``.
+
+    Rows are grouped by the key, by each reference ``{column: (parent, parent column)}`` and as a whole in one pass, over grouping
+    sets. Groups of the key are then only counted, so what meets the parents' keys is small.
+    """
+    references = references or {}
+    columns = list(dict.fromkeys([*keys, *references]))
+    sets = [list(keys), *[[c] for c in references if [c] != list(keys)], []]
+    number = {tuple(s): sum((c not in s) << (len(columns) - 1 - i) for i, c in enumerate(columns)) for s in sets}
+    grouped = df.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in columns]).agg(
+        F.grouping_id().alias("__set"), F.count(F.lit(1)).alias("__n"), *[F.sum(m).cast("decimal(38,2)").alias(f"__t{i}") for i, m in enumerate(measures)]
+    )
+    of = lambda *s: F.col("__set") == number[tuple(s)]
+    ref, value = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for c in references:
+        ref, value = F.when(of(c), F.lit(c)).otherwise(ref), F.when(of(c), F.col(c).cast("string")).otherwise(value)
+    slim = grouped.groupBy("__set", ref.alias("__ref"), value.alias("__value")).agg(
+        F.sum("__n").alias("__n"), F.sum(F.col("__n") - 1).alias("__extra"), *[F.max(f"__t{i}").alias(f"__t{i}") for i in range(len(measures))]
+    )
+    met = slim.join(_known_values(references), ["__ref", "__value"], "left") if references else slim
+    total = lambda x, cond: F.coalesce(F.sum(F.when(cond, F.col(x))), F.lit(0))
+    out = [total("__extra", of(*keys)).alias("duplicadas")]
+    out += [total("__n", of(c) & F.col("__known").isNull()).alias(f"orfaos_{c}") for c in references]
+    out += [F.coalesce(F.max(F.when(of(), F.col(f"__t{i}"))), F.lit(0)).cast("decimal(38,2)").alias(f"total_{m}") for i, m in enumerate(measures)]
+    return met.agg(*out)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import ratio, ratio_of_sums
 from tidemark.operators.metrics import concentration, flow_to_stock_rate, share_of_total
+from tidemark.operators.period import ALWAYS, YEAR, Period, during, on_calendar
 from tidemark.operators.ranking import (
     rank_shift,
     rank_shift_summary,
@@ -55,13 +56,14 @@ class Money:
 
 def monthly_totals(flow: DataFrame, measures: Sequence[str], by: Sequence[str] = ("cod_produto",)) -> DataFrame:
     """Totals per month: a handful of rows, whatever the size of the fact, for what follows to work on."""
-    return flow.groupBy("mes_ref", *by).agg(*[F.sum(m).alias(m) for m in measures])
+    stored_by = [YEAR] if YEAR in flow.columns else []
+    return flow.groupBy("mes_ref", *stored_by, *by).agg(*[F.sum(m).alias(m) for m in measures])
 
 
 def annual_flow(flow: DataFrame, calendar: DataFrame, money: Money = Money(), ratio_digits: int = 3) -> DataFrame:
     """Contributions, redemptions and net flow per full year and product."""
     monthly = monthly_totals(flow, ["vl_contribuicao", "vl_resgate"])
-    years = monthly.join(calendar.filter("fl_ano_completo").select("mes_ref", "ano"), "mes_ref")
+    years = on_calendar(monthly, calendar.filter("fl_ano_completo").select("mes_ref", "ano"))
     paid, drawn = F.sum("vl_contribuicao"), F.sum("vl_resgate")
     return years.groupBy("ano", "cod_produto").agg(
         money.col(paid, "contribuicoes"),
@@ -73,11 +75,11 @@ def annual_flow(flow: DataFrame, calendar: DataFrame, money: Money = Money(), ra
 
 def ytd_flow(flow: DataFrame, calendar: DataFrame, first_year: int, money: Money = Money()) -> DataFrame:
     """The same for the months every year has, from ``first_year`` on."""
-    monthly = monthly_totals(flow, ["vl_contribuicao", "vl_resgate"])
+    monthly = monthly_totals(during(flow, Period.months(f"{first_year}-01")), ["vl_contribuicao", "vl_resgate"])
     months = calendar.filter("fl_periodo_ytd").filter(F.col("ano") >= first_year).select("mes_ref", "ano")
     paid, drawn = F.sum("vl_contribuicao"), F.sum("vl_resgate")
     return (
-        monthly.join(months, "mes_ref")
+        on_calendar(monthly, months)
         .groupBy("ano", "cod_produto")
         .agg(money.col(paid, "contribuicoes_jan_jul"), money.col(drawn, "resgates_jan_jul"), money.col(paid - drawn, "flcr_jan_jul"))
     )
@@ -85,8 +87,7 @@ def ytd_flow(flow: DataFrame, calendar: DataFrame, first_year: int, money: Money
 
 def monthly_flow(flow: DataFrame, start: str, n: int = 3, money: Money = Money()) -> DataFrame:
     """Monthly series with its moving mean; the period is cut first, so early means cover fewer months."""
-    recent = flow.filter(F.col("mes_ref") >= F.lit(start).cast("date"))
-    monthly = monthly_totals(recent, ["vl_contribuicao", "vl_resgate"])
+    monthly = monthly_totals(during(flow, Period.months(start)), ["vl_contribuicao", "vl_resgate"])
     monthly = monthly.withColumn("vl_flcr", F.col("vl_contribuicao") - F.col("vl_resgate"))
     smoothed = moving_mean(monthly, ["cod_produto"], "mes_ref", "vl_flcr", n, "__mm")
     return smoothed.select(
@@ -104,14 +105,14 @@ def redemption_rate(
 ) -> DataFrame:
     """Redemptions over mean stock, per full year and for the months every year has; the latter not annualised."""
     drawn = monthly_totals(flow, ["vl_resgate"])
-    held = monthly_totals(stock, ["vl_pmbac"])
     bases = {
         "ANO_COMPLETO": F.col("fl_ano_completo"),
         "JAN_JUL": F.col("fl_periodo_ytd") & (F.col("ano") >= first_ytd_year),
     }
     labels = F.filter(F.array(*[F.when(cond, F.lit(b)) for b, cond in bases.items()]), lambda x: x.isNotNull())
     months = calendar.select("mes_ref", "ano", F.explode(labels).alias("base"))  # a month can count in both bases
-    dated = drawn.join(months, "mes_ref").withColumn("periodo", F.struct("base", "ano"))
+    held = on_calendar(monthly_totals(stock, ["vl_pmbac"]), months.select("mes_ref").distinct()).drop(YEAR)
+    dated = on_calendar(drawn, months).drop(YEAR).withColumn("periodo", F.struct("base", "ano"))
     rate = flow_to_stock_rate(dated, held, ["cod_produto"], "periodo", "mes_ref", "vl_resgate", "vl_pmbac")
     return rate.select(
         "periodo.ano",
@@ -123,10 +124,12 @@ def redemption_rate(
     )
 
 
-def unit_contributions(flow: DataFrame, calendar: DataFrame, generic_codes: Sequence[str] = GENERIC_GROUPS) -> DataFrame:
+def unit_contributions(
+    flow: DataFrame, calendar: DataFrame, generic_codes: Sequence[str] = GENERIC_GROUPS, period: Period = ALWAYS
+) -> DataFrame:
     """Contributions per full year, product and economic unit."""
     months = calendar.filter("fl_ano_completo").select("mes_ref", "ano")
-    units = economic_unit(flow.join(months, "mes_ref"), "cod_grupo", "cod_empresa", generic_codes)
+    units = economic_unit(on_calendar(during(flow, period), months), "cod_grupo", "cod_empresa", generic_codes)
     return units.groupBy("ano", "cod_produto", "unidade").agg(F.sum("vl_contribuicao").alias("contrib"))
 
 
@@ -159,7 +162,9 @@ def top_units(
     )
 
 
-def labelled_flows(flow: DataFrame, calendar: DataFrame, generic_codes: Sequence[str] = GENERIC_GROUPS) -> DataFrame:
+def labelled_flows(
+    flow: DataFrame, calendar: DataFrame, generic_codes: Sequence[str] = GENERIC_GROUPS, period: Period = ALWAYS
+) -> DataFrame:
     """Fact rows with their unit and the labels of the periods they count in (NULL when in none)."""
     year = F.col("ano").cast("string")
     periods = calendar.select(
@@ -167,7 +172,7 @@ def labelled_flows(flow: DataFrame, calendar: DataFrame, generic_codes: Sequence
         F.when(F.col("fl_ano_completo"), year).alias("periodo_ano"),
         F.when(F.col("fl_periodo_ytd"), F.concat(year, F.lit("_JAN_JUL"))).alias("periodo_ytd"),
     )
-    return economic_unit(flow.join(periods, "mes_ref"), "cod_grupo", "cod_empresa", generic_codes)
+    return economic_unit(on_calendar(during(flow, period), periods), "cod_grupo", "cod_empresa", generic_codes)
 
 
 def unit_totals(labelled: DataFrame, by: Sequence[str] = ("periodo_ano", "unidade")) -> DataFrame:

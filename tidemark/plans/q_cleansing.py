@@ -9,7 +9,6 @@ from tidemark.functions import (
     band,
     count_where,
     in_domain,
-    in_period,
     is_blank,
     matches,
     not_numeric,
@@ -21,6 +20,7 @@ from tidemark.functions import (
     zero_fill,
 )
 from tidemark.operators.cleanse import canonical_names, scope_filter, standardize
+from tidemark.operators.period import Period
 from tidemark.operators.star import economic_unit
 from tidemark.plans import roles as r
 from tidemark.plans.registry import Tables, query
@@ -99,7 +99,7 @@ def p9_format(t: Tables) -> DataFrame:
 @query(f"""WITH {r.LINES} SELECT cod_produto, COUNT(*) AS linhas, CAST(SUM(valor) AS DOUBLE) AS total FROM lines
 WHERE mes_ref BETWEEN DATE '1996-03-01' AND DATE '1998-10-01' GROUP BY cod_produto""")
 def p10_range(t: Tables) -> DataFrame:
-    kept = r.lines(t).filter(in_period("mes_ref", "1996-03-01", "1998-10-01"))
+    kept = r.lines(t, Period.months("1996-03", "1998-10"))
     return kept.groupBy("cod_produto").agg(r.rows(), F.sum("valor").cast("double").alias("total"))
 
 
@@ -181,7 +181,7 @@ WHERE mes_ref BETWEEN DATE '1999-01-01' AND DATE '1999-12-01' GROUP BY s_nationk
 def p18_period_scope(t: Tables) -> DataFrame:
     # cut and totalled before the join
     per_company = (
-        r.lines(t).filter(in_period("mes_ref", "1999-01-01", "1999-12-01")).groupBy("cod_empresa").agg(r.rows(), F.sum("valor").alias("total"))
+        r.lines(t, Period.years(1999)).groupBy("cod_empresa").agg(r.rows(), F.sum("valor").alias("total"))
     )
     groups = t.supplier.select(F.col("s_suppkey").cast("string").alias("cod_empresa"), "s_nationkey")
     out = per_company.join(groups, "cod_empresa").groupBy("s_nationkey")
@@ -205,6 +205,15 @@ def p19_scope(t: Tables) -> DataFrame:
     return r.doubles(report, "valor_no_escopo", "valor_fora", "valor_sem_codigo")
 
 
+@query(_SCOPE.replace("FROM clean", "FROM clean WHERE prazo").replace("  FROM lineitem),", "  , l_shipdate >= DATE '1996-03-01' AND l_shipdate < DATE '1998-11-01' AS prazo FROM lineitem),"))
+def p19_scope_period(t: Tables) -> DataFrame:
+    """The same for the extracts of some months: neither side reads others."""
+    valued = r.raw_lines(t, Period.months("1996-03", "1998-10")).withColumn("valor", parse_decimal("contrib"))
+    report = scope_filter(valued, "tipoProd", ["O", "F"], "valor")[1]
+    report = report.withColumn("pct_valor_no_escopo", F.round("pct_valor_no_escopo", 6))
+    return r.doubles(report, "valor_no_escopo", "valor_fora", "valor_sem_codigo")
+
+
 @query("""SELECT 'cliente' AS origem, c_nationkey AS nacao, COUNT(*) AS linhas FROM customer GROUP BY ALL
 UNION ALL SELECT 'fornecedor', s_nationkey, COUNT(*) FROM supplier GROUP BY ALL""")
 def p20_tag(t: Tables) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.ranking import first_values
 from tidemark.plans import roles as r
 from tidemark.plans.registry import Tables, query
 
@@ -102,10 +103,10 @@ def f5_conditional(t: Tables) -> DataFrame:
 @query("""SELECT o_orderstatus, array_to_string(list_sort(list_distinct(list(o_orderpriority)))[1:3], ',') AS primeiras,
   MAX(CASE o_orderstatus WHEN 'F' THEN 'fechado' WHEN 'O' THEN 'aberto' END) AS nome FROM orders GROUP BY o_orderstatus""")
 def f6_collection(t: Tables) -> DataFrame:
-    """Literal map and bounded set: five priorities at most."""
+    """Literal map and bounded set."""
     names = F.create_map(*[F.lit(x) for x in ("F", "fechado", "O", "aberto")])
-    first = F.slice(F.sort_array(F.collect_set("o_orderpriority")), 1, 3)
-    grouped = t.orders.groupBy("o_orderstatus").agg(F.array_join(first, ",").alias("primeiras"))
+    first = first_values(t.orders, ["o_orderstatus"], "o_orderpriority", 3, "primeiras")
+    grouped = first.withColumn("primeiras", F.array_join("primeiras", ","))
     return grouped.withColumn("nome", F.try_element_at(names, F.col("o_orderstatus")))
 
 

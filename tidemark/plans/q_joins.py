@@ -37,8 +37,7 @@ def j1_inner(t: Tables) -> DataFrame:
     return per_nation.join(t.nation, "n_nationkey").join(regions, "n_regionkey").select("n_name", "r_name", "pedidos", "total")
 
 
-def _kinds(t: Tables) -> dict[str, DataFrame]:
-    lines = r.lines(t)
+def _kinds(lines: DataFrame) -> dict[str, DataFrame]:
     named = {"A": "vl_contribuicao", "R": "vl_resgate", "N": "vl_portabilidade"}
     return {k: lines.filter(F.col("tipo") == k).groupBy(*KEYS).agg(F.sum("valor").cast(r.AMOUNT).alias(v)) for k, v in named.items()}
 
@@ -52,9 +51,13 @@ FROM lines GROUP BY cod_empresa, mes_ref, cod_produto"""
 
 @query(_CHAIN)
 def j2_left_chain(t: Tables) -> DataFrame:
-    """The textbook form of the spine: keys of all, each source joined to them."""
-    kinds = _kinds(t)
-    spine = r.lines(t).select(*KEYS).distinct()
+    """The textbook form of the spine: keys of all, each source joined to them.
+
+    Lines are totalled once and written; the keys and the three sources are read from there.
+    """
+    totals = stage(r.lines(t).groupBy(*KEYS, "tipo").agg(F.sum("valor").alias("valor")), "kinds")
+    kinds = _kinds(totals)
+    spine = totals.select(*KEYS).distinct()
     for source in kinds.values():
         spine = spine.join(source, KEYS, "left")
     amounts = ["vl_contribuicao", "vl_resgate", "vl_portabilidade"]

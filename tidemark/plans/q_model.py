@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.catalog import data_catalog, undocumented
+from tidemark.operators.combine import conservation
+from tidemark.operators.period import ALWAYS, Period
 from tidemark.operators.star import calendar_attributes, dim_latest, flow_fact, stock_fact
 from tidemark.operators.temporal import attribution_summary
 from tidemark.plans import roles as r
@@ -15,6 +17,7 @@ from tidemark.session import stage
 from tidemark.sources import literal_table, months_between_bounds
 
 KEYS = ["cod_empresa", "mes_ref", "cod_produto"]
+PERIOD = Period.months("1996-01", "2001-07")
 
 
 @query("""WITH b AS (SELECT date_trunc('month', MIN(o_orderdate)) AS a, date_trunc('month', MAX(o_orderdate)) AS z FROM orders),
@@ -39,9 +42,9 @@ def m3_passthrough_dim(t: Tables) -> DataFrame:
     return t.supplier.select(F.col("s_suppkey").cast("string").alias("cod_empresa"), F.col("s_name").alias("nome_empresa"))
 
 
-@query("""WITH h AS (SELECT o_orderpriority AS cod_grupo, CAST(o_custkey AS VARCHAR) AS nome_grupo, o_orderstatus = 'P' AS fl_grupo_generico,
-  ROW_NUMBER() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders)
-SELECT cod_grupo, nome_grupo, fl_grupo_generico FROM h WHERE rn = 1 UNION ALL SELECT 'NAO_INFORMADO', 'GRUPO NÃO INFORMADO', true""")
+@query("""SELECT o_orderpriority AS cod_grupo, CAST(max(o_custkey) FILTER (ultimo) AS VARCHAR) AS nome_grupo, bool_and(o_orderstatus = 'P') FILTER (ultimo) AS fl_grupo_generico
+FROM (SELECT *, (o_orderdate, o_orderkey) = max((o_orderdate, o_orderkey)) OVER (PARTITION BY o_orderpriority) AS ultimo FROM orders)
+GROUP BY o_orderpriority UNION ALL VALUES ('NAO_INFORMADO', 'GRUPO NÃO INFORMADO', true)""")
 def m4_dim_latest(t: Tables) -> DataFrame:
     history = t.orders.select(
         F.col("o_orderpriority").alias("cod_grupo"),
@@ -63,41 +66,68 @@ def m5_bridge(t: Tables) -> DataFrame:
 
 
 _FACT = f"""WITH {r.WHOLE_BRIDGE}, {r.CLINES}, {r.TRANSFERS},
-moved AS (SELECT cod_empresa, mes_ref, cod_produto, tipo AS kind, valor FROM clines WHERE tipo IN ('A', 'R')
-  UNION ALL SELECT cod_empresa, mes_ref, cod_produto, direcao, valor FROM transfers WHERE cod_produto IS NOT NULL AND direcao IS NOT NULL),
+moved AS (SELECT cod_empresa, mes_ref, cod_produto, if(parcela < 7, tipo, if(tipo = 'A', 'A', 'P')) AS kind,
+    if(tipo = 'A' AND parcela = 7, -valor, valor) AS valor, tipo = 'A' AND parcela = 7 AS marca FROM clines WHERE tipo IN ('A', 'R')
+  UNION ALL SELECT cod_empresa, mes_ref, cod_produto, direcao, valor, suspeita FROM transfers WHERE cod_produto IS NOT NULL AND direcao IS NOT NULL),
 summed AS (SELECT cod_empresa, mes_ref, cod_produto, SUM(if(kind = 'A', valor, 0)) AS vl_contribuicao, SUM(if(kind = 'R', valor, 0)) AS vl_resgate,
+  SUM(if(kind = 'P', valor, 0)) AS vl_resgate_pag_programado,
   SUM(if(kind = 'ACEITA', valor, 0)) AS vl_portab_aceita, SUM(if(kind = 'CEDIDA', valor, 0)) AS vl_portab_cedida,
-  bool_or(kind = 'A') AS fl_tem_contribuicao, bool_or(kind = 'R') AS fl_tem_resgate, bool_or(kind IN ('ACEITA', 'CEDIDA')) AS fl_tem_portabilidade
+  bool_or(kind = 'A') AS fl_tem_contribuicao, bool_or(kind IN ('R', 'P')) AS fl_tem_resgate, bool_or(kind IN ('ACEITA', 'CEDIDA')) AS fl_tem_portabilidade,
+  bool_or(kind = 'A' AND marca) AS fl_contribuicao_negativa, bool_or(kind <> 'A' AND marca) AS fl_qtd_portab_suspeita
   FROM moved WHERE mes_ref BETWEEN DATE '1996-01-01' AND DATE '2001-07-01' GROUP BY ALL),
 fato AS (SELECT summed.*, cod_grupo FROM summed JOIN bridge USING (cod_empresa, mes_ref))"""
 
 
-@query(f"""{_FACT} SELECT cod_empresa, strftime(mes_ref, '%Y%m') AS ano_mes, cod_produto, cod_grupo, CAST(vl_contribuicao AS DOUBLE) AS vl_contribuicao,
-  CAST(vl_resgate AS DOUBLE) AS vl_resgate, CAST(vl_portab_aceita AS DOUBLE) AS vl_portab_aceita, CAST(vl_portab_cedida AS DOUBLE) AS vl_portab_cedida,
-  CAST(vl_contribuicao - vl_resgate AS DOUBLE) AS vl_flcr, CAST(vl_portab_aceita - vl_portab_cedida AS DOUBLE) AS vl_portab_liquida,
-  CAST(vl_contribuicao - vl_resgate + vl_portab_aceita - vl_portab_cedida AS DOUBLE) AS vl_captacao_liquida,
-  fl_tem_contribuicao, fl_tem_resgate, fl_tem_portabilidade FROM fato""")
-def m6_flow_fact(t: Tables) -> DataFrame:
-    sources = r.customer_sources(t)
-    measures = {"contribuicao": ["vl_contribuicao"], "resgate": ["vl_resgate"], "portabilidade": ["vl_portab_aceita", "vl_portab_cedida"]}
+def _flow_fact(t: Tables, sources: dict[str, DataFrame]) -> DataFrame:
+    """Eight amounts and five flags on the grain of company, month and product."""
+    measures = {
+        "contribuicao": ["vl_contribuicao", "fl_contribuicao_negativa"],
+        "resgate": ["vl_resgate", "vl_resgate_pag_programado"],
+        "portabilidade": ["vl_portab_aceita", "vl_portab_cedida", "fl_qtd_portab_suspeita"],
+    }
     own = F.col("vl_contribuicao") - F.col("vl_resgate")
     net = F.col("vl_portab_aceita") - F.col("vl_portab_cedida")
-    fact = flow_fact(
+    return flow_fact(
         {name: (sources[name], columns) for name, columns in measures.items()},
         KEYS,
-        _bridge_from(t, sources["movimento"], sources["portabilidade"]).select("cod_empresa", "mes_ref", "cod_grupo"),
+        _bridge_from(t, sources["movimento"], sources["portabilidade"], period=PERIOD).select("cod_empresa", "mes_ref", "cod_grupo"),
         ["cod_empresa", "mes_ref"],
         {"vl_flcr": own, "vl_portab_liquida": net, "vl_captacao_liquida": own + net},
-        F.col("mes_ref").between(F.lit("1996-01-01").cast("date"), F.lit("2001-07-01").cast("date")),
     )
+
+
+@query(f"""{_FACT} SELECT cod_empresa, strftime(mes_ref, '%Y%m') AS ano_mes, cod_produto, cod_grupo, CAST(vl_contribuicao AS DOUBLE) AS vl_contribuicao,
+  CAST(vl_resgate AS DOUBLE) AS vl_resgate, CAST(vl_resgate_pag_programado AS DOUBLE) AS vl_resgate_pag_programado,
+  CAST(vl_portab_aceita AS DOUBLE) AS vl_portab_aceita, CAST(vl_portab_cedida AS DOUBLE) AS vl_portab_cedida,
+  CAST(vl_contribuicao - vl_resgate AS DOUBLE) AS vl_flcr, CAST(vl_portab_aceita - vl_portab_cedida AS DOUBLE) AS vl_portab_liquida,
+  CAST(vl_contribuicao - vl_resgate + vl_portab_aceita - vl_portab_cedida AS DOUBLE) AS vl_captacao_liquida,
+  fl_tem_contribuicao, fl_tem_resgate, fl_tem_portabilidade, fl_contribuicao_negativa, fl_qtd_portab_suspeita FROM fato""")
+def m6_flow_fact(t: Tables) -> DataFrame:
+    fact = _flow_fact(t, r.customer_sources(t, PERIOD))
     amounts = [c for c in fact.columns if c.startswith("vl_")]
     return r.doubles(fact.withColumn("ano_mes", F.date_format("mes_ref", "yyyyMM")).drop("mes_ref"), *amounts)
 
 
-def _bridge_from(t: Tables, *sources: DataFrame) -> DataFrame:
+_KEPT = {"vl_contribuicao": "'A'", "vl_resgate": "'R'", "vl_resgate_pag_programado": "'P'", "vl_portab_aceita": "'ACEITA'", "vl_portab_cedida": "'CEDIDA'"}
+
+
+@query(f"{_FACT}, total AS (SELECT kind, SUM(valor) AS v FROM moved WHERE mes_ref BETWEEN DATE '1996-01-01' AND DATE '2001-07-01' GROUP BY kind) " + " UNION ALL ".join(
+    f"""SELECT '{m}' AS metrica, (SELECT CAST(v AS DOUBLE) FROM total WHERE kind = {k}) AS antes, (SELECT CAST(SUM({m}) AS DOUBLE) FROM fato) AS depois,
+  CAST((SELECT SUM({m}) FROM fato) - (SELECT v FROM total WHERE kind = {k}) AS DOUBLE) AS diferenca, 'OK' AS status""" for m, k in _KEPT.items()))
+def m6_conservation(t: Tables) -> DataFrame:
+    """What the sources hold of the period against what the fact holds, measure by measure: one scan of either."""
+    sources = r.customer_sources(t, PERIOD)
+    moved = [sources[s] for s in ("contribuicao", "resgate", "portabilidade")]
+    before = moved[0].unionByName(moved[1], allowMissingColumns=True).unionByName(moved[2], allowMissingColumns=True)
+    return r.doubles(conservation(before, _flow_fact(t, sources), {m: m for m in _KEPT}), "antes", "depois", "diferenca")
+
+
+def _bridge_from(t: Tables, *sources: DataFrame, period: Period = ALWAYS) -> DataFrame:
+    """Months of the period; the history reaches back without end, as an as-of needs."""
     from tidemark.operators.temporal import temporal_bridge
 
-    return temporal_bridge(sources, r.group_history(t), "cod_empresa", "mes_ref", "cod_grupo")
+    asked = None if period.whole else period.covers("mes_ref")
+    return temporal_bridge(sources, r.group_history(t, period.until()), "cod_empresa", "mes_ref", "cod_grupo", asked)
 
 
 @query(f"""WITH {r.BRIDGE}, {r.CLINES}, s AS (SELECT cod_empresa, mes_ref, cod_produto, SUM(SUM(valor)) OVER (PARTITION BY cod_empresa, cod_produto
@@ -105,14 +135,15 @@ def _bridge_from(t: Tables, *sources: DataFrame) -> DataFrame:
 SELECT s.cod_empresa, strftime(s.mes_ref, '%Y%m') AS ano_mes, s.cod_produto, b.cod_grupo, CAST(vl_pmbac AS DOUBLE) AS vl_pmbac
 FROM s JOIN bridge b ON b.cod_empresa = s.cod_empresa AND b.mes_ref = s.mes_ref WHERE s.mes_ref BETWEEN DATE '1996-01-01' AND DATE '2001-07-01'""")
 def m7_stock_fact(t: Tables) -> DataFrame:
+    """A balance counts all that was shipped so far, so only the upper end of the period bounds the scan."""
     from pyspark.sql import Window
 
-    moved = r.customer_sources(t)["movimento"]
+    shipped = r.customer_lines(t, PERIOD.until()).groupBy(*KEYS).agg(F.sum("valor").cast(r.AMOUNT).alias("v"))
     so_far = Window.partitionBy("cod_empresa", "cod_produto").orderBy("mes_ref").rowsBetween(Window.unboundedPreceding, 0)
-    stock = moved.select(*KEYS, F.sum("vl_total").over(so_far).alias("vl_pmbac"))
-    period = F.col("mes_ref").between(F.lit("1996-01-01").cast("date"), F.lit("2001-07-01").cast("date"))
-    bridge = _bridge_from(t, moved).select("cod_empresa", "mes_ref", "cod_grupo")
-    fact = stock_fact(stock, bridge, ["cod_empresa", "mes_ref"], [*KEYS, "cod_grupo", "vl_pmbac"], period)
+    stock = shipped.select(*KEYS, F.sum("v").over(so_far).alias("vl_pmbac")).filter(PERIOD.covers("mes_ref"))
+    stock = stage(stock, "stock")  # balances of the period alone; the bridge asks for their months
+    bridge = _bridge_from(t, stock, period=PERIOD).select("cod_empresa", "mes_ref", "cod_grupo")
+    fact = stock_fact(stock, bridge, ["cod_empresa", "mes_ref"], [*KEYS, "cod_grupo", "vl_pmbac"])
     return r.doubles(fact.withColumn("ano_mes", F.date_format("mes_ref", "yyyyMM")).drop("mes_ref"), "vl_pmbac")
 
 
@@ -176,9 +207,6 @@ SELECT b.tipo_atribuicao, COUNT(*) AS linhas, MAX(b.meses_defasagem) AS max_defa
 FROM u JOIN bridge b ON b.cod_empresa = u.cod_empresa AND b.mes_ref = u.mes_ref GROUP BY ALL""")
 def m10_attribution_summary(t: Tables) -> DataFrame:
     """How the group was found, for the months that reach the fact."""
-    sources = r.customer_sources(t)
-    bridge = stage(_bridge_from(t, sources["movimento"], sources["portabilidade"]), "bridge")
-    period = F.col("mes_ref").between(F.lit("1996-01-01").cast("date"), F.lit("2001-07-01").cast("date"))
-    moves = [sources[s].filter(period).select("cod_empresa", "mes_ref") for s in ("contribuicao", "resgate", "portabilidade")]
-    used = moves[0].unionByName(moves[1]).unionByName(moves[2]).distinct()
-    return attribution_summary(bridge.join(used, ["cod_empresa", "mes_ref"], "left_semi"))
+    sources = r.customer_sources(t, PERIOD)
+    used = [sources[s] for s in ("contribuicao", "resgate", "portabilidade")]
+    return attribution_summary(_bridge_from(t, *used, period=PERIOD))

@@ -45,8 +45,9 @@ from tidemark.operators.metrics import (
     symmetry_test,
     worst_asymmetry,
 )
-from tidemark.operators.quality import DQSuite, Rule, at_most, count_rule, info, zero
-from tidemark.operators.star import foreign_key_report, primary_key_report
+from tidemark.operators.period import Period
+from tidemark.operators.quality import DQSuite, Rule, at_most, count_rule, domain_rule, info, offending_values, zero
+from tidemark.operators.star import foreign_key_report, primary_key_report, table_audit
 from tidemark.operators.temporal import attribution_summary
 from tidemark.plans import analyses as an
 from tidemark.plans import roles as r
@@ -82,13 +83,13 @@ _DUPS = "(SELECT COUNT(*) - COUNT(DISTINCT o_orderkey) FROM orders)"
 _ORPHANS = "(SELECT COUNT(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer))"
 
 _D1 = f"WITH {r.RAW} " + " UNION ALL ".join([
-    _expect("raw", "Completude", "contrib preenchida", _BLANK, _zero_status(_BLANK, "ALERTA"), "clean"),
-    _expect("raw", "Validade", "valores numéricos", _BADNUM, _zero_status(_BADNUM, "FALHA"), "clean"),
-    _expect("raw", "Consistência", "AAAAMM válido", _BADMONTH, _zero_status(_BADMONTH, "FALHA"), "clean"),
-    _expect("raw", "Consistência", "chave sem espaços", _PADDED, _zero_status(_PADDED, "ALERTA"), "clean"),
-    _expect("raw", "Escopo", "produto no escopo", _OUTSIDE, "'INFO'", "clean", "-"),
-    _expect("orders", "Unicidade", "chave única [''o_orderkey'']", _DUPS, _zero_status(_DUPS, "FALHA"), "(SELECT 1)"),
-    _expect("orders", "Integridade referencial", "o_custkey existe em customer", _ORPHANS, _zero_status(_ORPHANS, "FALHA"), "(SELECT 1)"),
+    _expect("raw", "Completude", "contrib informada", _BLANK, _zero_status(_BLANK, "ALERTA"), "clean"),
+    _expect("raw", "Validade", "contrib em formato de número", _BADNUM, _zero_status(_BADNUM, "FALHA"), "clean"),
+    _expect("raw", "Consistência", "mês interpretável", _BADMONTH, _zero_status(_BADMONTH, "FALHA"), "clean"),
+    _expect("raw", "Consistência", "chave sem espaços nas pontas", _PADDED, _zero_status(_PADDED, "ALERTA"), "clean"),
+    _expect("raw", "Escopo", "produto da análise", _OUTSIDE, "'INFO'", "clean", "-"),
+    _expect("orders", "Unicidade", "uma linha por o_orderkey", _DUPS, _zero_status(_DUPS, "FALHA"), "(SELECT 1)"),
+    _expect("orders", "Integridade referencial", "o_custkey consta em customer", _ORPHANS, _zero_status(_ORPHANS, "FALHA"), "(SELECT 1)"),
 ])
 
 
@@ -97,11 +98,11 @@ def _suite(t: Tables) -> DQSuite:
     suite = DQSuite(t.spark, "SILVER").row(
         "raw",
         raw,
-        count_rule("Completude", "contrib preenchida", "vazias", is_blank("contrib"), zero("ALERTA")),
-        count_rule("Validade", "valores numéricos", "não numéricos", not_numeric("contrib"), zero()),
-        count_rule("Consistência", "AAAAMM válido", "meses inválidos", parse_month("damesano").isNull(), zero()),
-        count_rule("Consistência", "chave sem espaços", "com espaço", has_padding("coenti"), zero("ALERTA")),
-        count_rule("Escopo", "produto no escopo", "fora", outside_domain("tipoProd", ["O", "F"]), info(), "-"),
+        count_rule("Completude", "contrib informada", "vazias", is_blank("contrib"), zero("ALERTA")),
+        count_rule("Validade", "contrib em formato de número", "textos não convertidos", not_numeric("contrib"), zero()),
+        count_rule("Consistência", "mês interpretável", "meses recusados", parse_month("damesano").isNull(), zero()),
+        count_rule("Consistência", "chave sem espaços nas pontas", "valores com espaço", has_padding("coenti"), zero("ALERTA")),
+        count_rule("Escopo", "produto da análise", "fora", outside_domain("tipoProd", ["O", "F"]), info(), "-"),
     )
     customers = t.customer.select(F.col("c_custkey").alias("o_custkey"))
     return suite.key("orders", t.orders, ["o_orderkey"]).foreign_key("orders", t.orders, customers, "o_custkey", "customer")
@@ -172,9 +173,9 @@ def d7_format(t: Tables) -> DataFrame:
     return _row_rule(t, "customer", t.customer, rule)
 
 
-@query(f"WITH {r.RAW} " + _expect("raw", "Consistência", "AAAAMM válido", _BADMONTH, _zero_status(_BADMONTH, "ALERTA"), "clean"))
+@query(f"WITH {r.RAW} " + _expect("raw", "Consistência", "mês interpretável", _BADMONTH, _zero_status(_BADMONTH, "ALERTA"), "clean"))
 def d8_invalid_month(t: Tables) -> DataFrame:
-    rule = count_rule("Consistência", "AAAAMM válido", "meses inválidos", parse_month("damesano").isNull(), zero("ALERTA"))
+    rule = count_rule("Consistência", "mês interpretável", "meses recusados", parse_month("damesano").isNull(), zero("ALERTA"))
     return _row_rule(t, "raw", r.raw_lines(t), rule)
 
 
@@ -192,6 +193,24 @@ def d10_domain(t: Tables) -> DataFrame:
     return domain_difference(t.documents, "lang", ["en", "de"])
 
 
+_EVIDENCE = """(SELECT array_to_string(list(v || ': ' || n ORDER BY n DESC, v)[1:{k}], ', ')
+  FROM (SELECT COALESCE(CAST({code} AS VARCHAR), 'NULL') AS v, COUNT(*) AS n FROM {source} WHERE {cond} GROUP BY 1))"""
+
+
+@query(f"""WITH {r.RAW}, bad AS (SELECT * FROM clean WHERE tipoProd IS NULL OR tipoProd NOT IN ('O', 'F')), odd AS (SELECT * FROM clean WHERE mes_ref IS NULL)
+SELECT 'produto conhecido' AS regra, CAST(COUNT(*) AS DOUBLE) AS valor_num, {_EVIDENCE.format(k=3, code="tipoProd", source="bad", cond="true")} AS evidencia FROM bad
+UNION ALL SELECT 'mês interpretável', CAST(COUNT(*) AS DOUBLE), {_EVIDENCE.format(k=3, code="damesano", source="odd", cond="true")} FROM odd""")
+def d10_evidence(t: Tables) -> DataFrame:
+    """What offends, by name and with counts, from the aggregate that counts it."""
+    suite = DQSuite(t.spark, "SILVER").row(
+        "raw",
+        r.raw_lines(t),
+        domain_rule("Consistência (domínio)", "produto conhecido", "códigos recusados", "tipoProd", outside_domain("tipoProd", ["O", "F"]), zero(), k=3),
+        domain_rule("Consistência", "mês interpretável", "meses recusados", "damesano", parse_month("damesano").isNull(), zero(), k=3),
+    )
+    return suite.results().select("regra", "valor_num", "evidencia")
+
+
 @query("""SELECT c_mktsegment, COUNT(*) FILTER (WHERE c_acctbal < 0) AS negativas,
   CAST(COALESCE(SUM(CAST(c_acctbal AS DECIMAL(20,2))) FILTER (WHERE c_acctbal < 0), 0) AS DOUBLE) AS soma FROM customer GROUP BY ALL""")
 def d11_sign(t: Tables) -> DataFrame:
@@ -237,6 +256,14 @@ _COPIES = """copies AS (SELECT l_suppkey, strftime(l_shipdate, '%Y%m') AS m, l_l
 d AS (SELECT *, COUNT(*) AS k FROM copies GROUP BY ALL)"""
 
 
+@query(f"""SELECT COUNT(*) FILTER (o_orderpriority NOT IN ('1-URGENT', '2-HIGH')) AS fora,
+  {_EVIDENCE.format(k=2, code="o_orderpriority", source="orders", cond="o_orderpriority NOT IN ('1-URGENT', '2-HIGH')")} AS quais FROM orders""")
+def d13_outside_codes(t: Tables) -> DataFrame:
+    """Rows left out, and the commonest codes among them, in one scan."""
+    out = outside_domain("o_orderpriority", ["1-URGENT", "2-HIGH"])
+    return t.orders.agg(count_where(out).alias("fora"), offending_values("o_orderpriority", out, 2).alias("quais"))
+
+
 @query(f"""WITH {_COPIES} SELECT CAST(SUM(k) AS BIGINT) AS linhas_antes, COUNT(*) AS linhas_depois, CAST(SUM(k - 1) AS BIGINT) AS linhas_removidas,
   CAST(SUM(v * (k - 1)) AS DOUBLE) AS soma_removida, CAST(SUM(abs(v) * (k - 1)) AS DOUBLE) AS modulo_removido FROM d""")
 def d14_dedup_report(t: Tables) -> DataFrame:
@@ -355,7 +382,7 @@ SELECT cod_empresa, cod_produto, strftime(mes_ref, '%Y%m') AS ano_mes, CAST(v AS
   CAST(v AS DOUBLE) / media AS multiplo FROM s WHERE media > 0 AND CAST(v AS DOUBLE) > 2.5 * media AND v > 100000""")
 def d22_outlier(t: Tables) -> DataFrame:
     by = ["cod_empresa", "cod_produto"]
-    monthly = an.monthly_totals(r.lines(t).filter("mes_ref >= '1996-01-01'"), ["valor"], by)
+    monthly = an.monthly_totals(r.lines(t, Period.months("1996-01")), ["valor"], by)
     out = outliers(monthly, by, "mes_ref", "valor", 12, 2.5, 100000)
     return r.doubles(out.withColumn("ano_mes", F.date_format("mes_ref", "yyyyMM")).drop("mes_ref"), "valor")
 
@@ -439,6 +466,17 @@ def d31_fk(t: Tables) -> DataFrame:
     return foreign_key_report({f"{c}.{k}": (getattr(t, c), k, getattr(t, p), pk) for c, k, p, pk in _FKS})
 
 
+@query("""SELECT COUNT(*) - COUNT(DISTINCT (l_orderkey, l_linenumber)) AS duplicadas,
+  COUNT(*) FILTER (l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0)) AS orfaos_l_suppkey,
+  COUNT(*) FILTER (pedido_conhecido IS NULL) AS orfaos_l_orderkey, CAST(SUM(CAST(l_extendedprice AS DECIMAL(20,2))) AS DOUBLE) AS total_valor
+FROM (SELECT l.*, o_orderkey AS pedido_conhecido FROM lineitem l LEFT JOIN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P') ON o_orderkey = l_orderkey)""")
+def d31_audit(t: Tables) -> DataFrame:
+    """Key, two references and a total of the lines from one scan of them."""
+    lines = t.lineitem.withColumn("valor", F.col("l_extendedprice").cast(r.AMOUNT))
+    known = {"l_suppkey": (t.supplier.filter("s_acctbal > 0"), "s_suppkey"), "l_orderkey": (t.orders.filter("o_orderstatus <> 'P'"), "o_orderkey")}
+    return r.doubles(table_audit(lines, ["l_orderkey", "l_linenumber"], known, ["valor"]), "total_valor")
+
+
 @query(f"""WITH {r.FACT} SELECT m AS metrica, CAST(antes AS DOUBLE) AS antes, CAST(depois AS DOUBLE) AS depois, CAST(depois - antes AS DOUBLE) AS diferenca,
   CASE WHEN antes = depois THEN 'OK' ELSE 'FALHA' END AS status FROM (
 SELECT 'vl_contribuicao' AS m, (SELECT SUM(vl_contribuicao) FROM flow) AS antes, (SELECT SUM(vl_contribuicao) FROM fact) AS depois
@@ -458,7 +496,7 @@ def d33_attribution(t: Tables) -> DataFrame:
 
 @query("""SELECT 'orders' AS tabela, 'status no domínio' AS regra, CAST(COUNT(*) FILTER (WHERE o_orderstatus NOT IN ('F', 'O', 'P')) AS DOUBLE) AS valor_num, 'OK' AS status FROM orders
 UNION ALL SELECT 'orders', 'valor >= 0', CAST(COUNT(*) FILTER (WHERE o_totalprice < 0) AS DOUBLE), 'OK' FROM orders
-UNION ALL SELECT 'orders', 'chave única [''o_orderkey'']', 0, 'OK'""")
+UNION ALL SELECT 'orders', 'uma linha por o_orderkey', 0, 'OK'""")
 def d34_gate(t: Tables) -> DataFrame:
     """Results that pass the gate; a FALHA among them would raise."""
     suite = DQSuite(t.spark, "GOLD").row(

@@ -9,6 +9,7 @@ from tidemark.functions import parse_decimal
 from tidemark.operators.cleanse import domain_difference, union_all
 from tidemark.operators.dedup import collapse_duplicates
 from tidemark.operators.metrics import share_of_total
+from tidemark.operators.period import Period
 from tidemark.operators.ranking import global_ranks, top_rows, topk_entities_history, topk_per_group
 from tidemark.operators.star import dim_latest
 from tidemark.operators.temporal import fill_months, latest_per_key, moving_mean, pct_change, trailing_mean
@@ -49,7 +50,7 @@ def w2_trailing_mean(t: Tables) -> DataFrame:
 WINDOW w AS (PARTITION BY cod_empresa, cod_produto ORDER BY mes_ref ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)""")
 def w3_moving_mean(t: Tables) -> DataFrame:
     by = ["cod_empresa", "cod_produto"]
-    recent = an.monthly_totals(r.lines(t, since="1998-01-01"), ["valor"], by)
+    recent = an.monthly_totals(r.lines(t, Period.months("1998-01")), ["valor"], by)
     return r.doubles(_month(moving_mean(recent, by, "mes_ref", "valor", 3)), "valor")
 
 

@@ -18,9 +18,12 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._read: dict[str, DataFrame] = {}
 
     def __getattr__(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{table}.parquet")
+        if table not in self._read:
+            self._read[table] = self.spark.read.parquet(f"{self.folder}/{table}.parquet")
+        return self._read[table]
 
 
 def query(sql: str | None = None, name: str | None = None) -> Callable[[Callable[[Tables], DataFrame]], Callable[[Tables], DataFrame]]:

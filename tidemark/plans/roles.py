@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import recode, sum_where
+from tidemark.operators.metrics import implausible_average
+from tidemark.operators.period import ALWAYS, Period, month_of, with_month
 from tidemark.operators.star import dim_calendar, unit_names
 from tidemark.plans.analyses import Money
 from tidemark.plans.registry import Tables
@@ -26,21 +28,16 @@ def rows(name: str = "linhas"):
     return F.count(F.lit(1)).alias(name)
 
 
-def month_of(column: str):
-    return F.trunc(F.col(column).cast("date"), "MM")
-
-
 def doubles(df: DataFrame, *columns: str) -> DataFrame:
     """Decimals as doubles, the type both engines compare the same way."""
     return df.withColumns({c: F.col(c).cast("double") for c in columns})
 
 
-def lines(t: Tables, since: str | None = None) -> DataFrame:
-    """All lines, or those from the first day of a month on: the bound sits on the raw date and reaches the scan."""
-    raw = t.lineitem if since is None else t.lineitem.filter(F.col("l_shipdate") >= F.lit(since).cast("date"))
-    return raw.select(
+def lines(t: Tables, period: Period = ALWAYS) -> DataFrame:
+    """Lines of the period, all of them by default."""
+    return with_month(t.lineitem, "l_shipdate", period).select(
         F.col("l_suppkey").cast("string").alias("cod_empresa"),
-        month_of("l_shipdate").alias("mes_ref"),
+        "mes_ref",
         F.col("l_linestatus").alias("cod_produto"),
         F.col("l_returnflag").alias("tipo"),
         F.col("l_discount").cast("decimal(4,2)").alias("desconto"),
@@ -74,9 +71,9 @@ def with_derived(df: DataFrame) -> DataFrame:
     return df.withColumns({"vl_flcr": own, "vl_portab_liquida": net, "vl_captacao_liquida": own + net})
 
 
-def flow_rows(t: Tables) -> DataFrame:
+def flow_rows(t: Tables, period: Period = ALWAYS) -> DataFrame:
     """Line-level flows, for questions that need no company."""
-    return _measures(lines(t)).drop("tipo", "desconto", "quantidade", "valor")
+    return _measures(lines(t, period)).drop("tipo", "desconto", "quantidade", "valor")
 
 
 FLOW = (
@@ -91,20 +88,39 @@ FLOW = (
 )
 
 
-def supplier_fact(t: Tables) -> DataFrame:
+def supplier_fact(t: Tables, period: Period = ALWAYS) -> DataFrame:
     """Month x company x product fact with the group of each company.
 
     Lines are totalled before they meet the suppliers, so the join sees one row per grain.
     """
-    totals = flow_rows(t).groupBy("mes_ref", "cod_empresa", "cod_produto").agg(
+    totals = flow_rows(t, period).groupBy("mes_ref", "cod_empresa", "cod_produto").agg(
         *[F.sum(c).cast(AMOUNT).alias(c) for c in ("vl_contribuicao", "vl_resgate", "vl_portab_aceita", "vl_portab_cedida")]
     )
     groups = t.supplier.select(F.col("s_suppkey").cast("string").alias("cod_empresa"), F.col("s_nationkey").cast("string").alias("cod_grupo"))
     return with_derived(totals.join(groups, "cod_empresa"))
 
 
+OWNER = """member AS (
+  SELECT s_suppkey, list_contains(['3', '7'], CAST(s_nationkey AS VARCHAR)) AS sozinha, s_name, n_name, CAST(s_nationkey AS VARCHAR) AS grupo
+  FROM supplier JOIN nation ON n_nationkey = s_nationkey),
+owner AS (
+  SELECT CAST(s_suppkey AS VARCHAR) AS cod_empresa, if(sozinha, concat('EMP_', s_suppkey), grupo) AS unidade,
+         if(sozinha, concat(s_name, ' (sem grupo)'), n_name) AS nome_unidade FROM member)"""
+
+# every line under its unit, by what it is: paid in, drawn, transferred in or out
+MOVES = (
+    OWNER
+    + """, moves AS (
+  SELECT unidade, nome_unidade, l_linestatus AS produto, year(l_shipdate) AS y, CAST(l_extendedprice AS DECIMAL(20,2)) AS valor,
+         CASE l_returnflag WHEN 'A' THEN 'pago' WHEN 'R' THEN 'sacado'
+              ELSE if(CAST(l_discount AS DECIMAL(4,2)) < 0.05, 'entrou', 'saiu') END AS kind
+  FROM lineitem JOIN owner ON cod_empresa = CAST(l_suppkey AS VARCHAR))"""
+)
+
 FACT = (
     FLOW
+    + ", "
+    + OWNER
     + """, totals AS (
   SELECT mes_ref, cod_empresa, cod_produto, SUM(vl_contribuicao) AS vl_contribuicao, SUM(vl_resgate) AS vl_resgate,
          SUM(vl_portab_aceita) AS vl_portab_aceita, SUM(vl_portab_cedida) AS vl_portab_cedida
@@ -116,11 +132,9 @@ fact AS (
   FROM totals x JOIN supplier s ON x.cod_empresa = CAST(s.s_suppkey AS VARCHAR)
                 JOIN nation n ON n.n_nationkey = s.s_nationkey),
 units AS (
-  SELECT CASE WHEN year(mes_ref) <= 2000 THEN CAST(year(mes_ref) AS VARCHAR) END AS periodo_ano,
-         CASE WHEN month(mes_ref) <= 7 THEN CAST(year(mes_ref) AS VARCHAR) || '_JAN_JUL' END AS periodo_ytd,
-         CASE WHEN cod_grupo IN ('3', '7') THEN 'EMP_' || cod_empresa ELSE cod_grupo END AS unidade,
-         CASE WHEN cod_grupo IN ('3', '7') THEN nome_empresa || ' (sem grupo)' ELSE nome_grupo END AS nome_unidade, *
-  FROM fact)"""
+  SELECT if(y > 2000, NULL, CAST(y AS VARCHAR)) AS periodo_ano, if(m > 7, NULL, concat(y, '_JAN_JUL')) AS periodo_ytd,
+         owner.unidade, owner.nome_unidade, f.*
+  FROM (SELECT *, year(mes_ref) AS y, month(mes_ref) AS m FROM fact) f JOIN owner USING (cod_empresa))"""
 )
 
 
@@ -150,14 +164,19 @@ STOCK = """stock AS (
 # --- customers as companies -------------------------------------------------------------------
 
 
-def customer_lines(t: Tables) -> DataFrame:
-    """Lines with the customer of their order. A key that dominates either side is split by adaptive execution."""
+def customer_lines(t: Tables, period: Period = ALWAYS) -> DataFrame:
+    """Lines with the customer of their order. A key that dominates either side is split by adaptive execution.
+
+    ``parcela`` is the line's number in its order: a last one (7) is a reversal among contributions and a scheduled
+    payment among redemptions.
+    """
     owner = t.orders.select("o_orderkey", F.col("o_custkey").cast("string").alias("cod_empresa"))
-    shipped = t.lineitem.select(
+    shipped = with_month(t.lineitem, "l_shipdate", period).select(
         F.col("l_orderkey").alias("o_orderkey"),
-        month_of("l_shipdate").alias("mes_ref"),
+        "mes_ref",
         F.col("l_linestatus").alias("cod_produto"),
         F.col("l_returnflag").alias("tipo"),
+        F.col("l_linenumber").alias("parcela"),
         F.col("l_extendedprice").cast(AMOUNT).alias("valor"),
     )
     return shipped.join(owner, "o_orderkey").drop("o_orderkey")
@@ -165,14 +184,18 @@ def customer_lines(t: Tables) -> DataFrame:
 
 CLINES = """clines AS (
   SELECT CAST(o.o_custkey AS VARCHAR) AS cod_empresa, CAST(date_trunc('month', l.l_shipdate) AS DATE) AS mes_ref,
-         l.l_linestatus AS cod_produto, l.l_returnflag AS tipo, CAST(l.l_extendedprice AS DECIMAL(20,2)) AS valor
+         l.l_linestatus AS cod_produto, l.l_returnflag AS tipo, l.l_linenumber AS parcela,
+         CAST(l.l_extendedprice AS DECIMAL(20,2)) AS valor
   FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey)"""
 
 
-def group_history(t: Tables) -> DataFrame:
-    """Group of a customer in the months it has one."""
-    done = t.orders.filter("o_orderstatus = 'F'")
-    return done.groupBy(F.col("o_custkey").cast("string").alias("cod_empresa"), month_of("o_orderdate").alias("mes_ref")).agg(
+def group_history(t: Tables, period: Period = ALWAYS) -> DataFrame:
+    """Group of a customer in the months it has one.
+
+    The role takes a customer's finished orders alone as the record of its group; open ones say nothing about it.
+    """
+    done = with_month(t.orders.filter("o_orderstatus = 'F'"), "o_orderdate", period)
+    return done.groupBy(F.col("o_custkey").cast("string").alias("cod_empresa"), "mes_ref").agg(
         F.max("o_orderpriority").alias("cod_grupo")
     )
 
@@ -185,15 +208,19 @@ HIST = """hist AS (
 # Transfers: orders of the two leading priorities, one per product; status F is accepted, O ceded.
 PRODUCT_OF = {"1-URGENT": "O", "2-HIGH": "F"}
 DIRECTION_OF = {"F": "ACEITA", "O": "CEDIDA"}
+LOW_AVERAGE = 5000
 
 
-def transfers(t: Tables) -> DataFrame:
-    return t.orders.select(
+def transfers(t: Tables, period: Period = ALWAYS) -> DataFrame:
+    """Orders as transfers; the day of the month stands in for the number of transfers that a row adds up."""
+    amount = F.col("o_totalprice").cast(AMOUNT)
+    return with_month(t.orders, "o_orderdate", period).select(
         F.col("o_custkey").cast("string").alias("cod_empresa"),
-        month_of("o_orderdate").alias("mes_ref"),
+        "mes_ref",
         recode("o_orderpriority", PRODUCT_OF).alias("cod_produto"),
         recode("o_orderstatus", DIRECTION_OF).alias("direcao"),
-        F.col("o_totalprice").cast(AMOUNT).alias("valor"),
+        implausible_average(F.dayofmonth("o_orderdate"), amount, LOW_AVERAGE).alias("fl_qtd_portab_suspeita"),
+        amount.alias("valor"),
     )
 
 
@@ -201,7 +228,8 @@ TRANSFERS = """transfers AS (
   SELECT CAST(o_custkey AS VARCHAR) AS cod_empresa, CAST(date_trunc('month', o_orderdate) AS DATE) AS mes_ref,
          CASE o_orderpriority WHEN '1-URGENT' THEN 'O' WHEN '2-HIGH' THEN 'F' END AS cod_produto,
          CASE o_orderstatus WHEN 'F' THEN 'ACEITA' WHEN 'O' THEN 'CEDIDA' END AS direcao,
-         CAST(o_totalprice AS DECIMAL(20,2)) AS valor
+         CAST(o_totalprice AS DECIMAL(20,2)) AS valor,
+         CAST(CAST(o_totalprice AS DECIMAL(20,2)) AS DOUBLE) / day(o_orderdate) < 5000 AS suspeita
   FROM orders)"""
 
 _SHIPPED = """SELECT CAST(o_custkey AS VARCHAR) AS cod_empresa, CAST(date_trunc('month', l_shipdate) AS DATE) AS mes_ref
@@ -224,29 +252,33 @@ BRIDGE = _bridge_sql(_SHIPPED)
 WHOLE_BRIDGE = _bridge_sql(_SHIPPED, _TRANSFERRED)
 
 
-def customer_sources(t: Tables) -> dict[str, DataFrame]:
-    """Contributions, redemptions and transfers on the customer grain."""
+def customer_sources(t: Tables, period: Period = ALWAYS) -> dict[str, DataFrame]:
+    """Contributions, redemptions and transfers on the customer grain, in a period that bounds the raw dates."""
     from tidemark.operators.dedup import pivot_sum
     from tidemark.session import stage
 
     keys = ["cod_empresa", "mes_ref", "cod_produto"]
+    paid, drawn, last = F.col("tipo") == "A", F.col("tipo") == "R", F.col("parcela") == 7
+    signed = F.when(last, -F.col("valor")).otherwise(F.col("valor"))
     # one pass over lines and orders, written once: each source below reads its own columns of it
     moved = stage(
-        customer_lines(t).groupBy(*keys).agg(
-            sum_where("valor", F.col("tipo") == "A").cast(AMOUNT).alias("vl_contribuicao"),
-            sum_where("valor", F.col("tipo") == "R").cast(AMOUNT).alias("vl_resgate"),
+        customer_lines(t, period).groupBy(*keys).agg(
+            sum_where(signed, paid).cast(AMOUNT).alias("vl_contribuicao"),
+            sum_where("valor", drawn & ~last).cast(AMOUNT).alias("vl_resgate"),
+            sum_where("valor", drawn & last).cast(AMOUNT).alias("vl_resgate_pag_programado"),
             sum_where("valor", F.lit(True)).cast(AMOUNT).alias("vl_total"),
-            F.bool_or(F.col("tipo") == "A").alias("tem_a"),
-            F.bool_or(F.col("tipo") == "R").alias("tem_r"),
+            F.bool_or(paid & last).alias("fl_contribuicao_negativa"),
+            F.bool_or(paid).alias("tem_a"),
+            F.bool_or(drawn).alias("tem_r"),
         ),
         "customer-moves",
     )
-    moves = transfers(t).filter(F.col("cod_produto").isNotNull() & F.col("direcao").isNotNull())
+    moves = transfers(t, period).filter(F.col("cod_produto").isNotNull() & F.col("direcao").isNotNull())
     columns = {"ACEITA": "vl_portab_aceita", "CEDIDA": "vl_portab_cedida"}
     return {
-        "contribuicao": moved.filter("tem_a").select(*keys, "vl_contribuicao"),
-        "resgate": moved.filter("tem_r").select(*keys, "vl_resgate"),
-        "portabilidade": pivot_sum(moves, keys, "direcao", "valor", columns),
+        "contribuicao": moved.filter("tem_a").select(*keys, "vl_contribuicao", "fl_contribuicao_negativa"),
+        "resgate": moved.filter("tem_r").select(*keys, "vl_resgate", "vl_resgate_pag_programado"),
+        "portabilidade": pivot_sum(moves, keys, "direcao", "valor", columns, ["fl_qtd_portab_suspeita"]),
         "movimento": moved.select(*keys, "vl_total"),
     }
 
@@ -260,8 +292,8 @@ def customer_bridge(t: Tables) -> DataFrame:
 # --- raw text ---------------------------------------------------------------------------------
 
 
-def raw_lines(t: Tables) -> DataFrame:
-    """Line items as a text extract would bring them, with the defects such extracts have.
+def raw_lines(t: Tables, period: Period = ALWAYS) -> DataFrame:
+    """Line items shipped in the period as a text extract would bring them, with the defects such extracts have.
 
     Padded company codes, blank and impossible months, product codes that are missing or unknown,
     decimal commas with residue, thousands separators, words and blanks among the amounts.
@@ -270,7 +302,7 @@ def raw_lines(t: Tables) -> DataFrame:
     code, n = F.col("l_suppkey").cast("string"), F.col("l_linenumber")
     transfer = F.col("l_returnflag") == "N"
     tax = F.col("l_tax").cast("decimal(4,2)")
-    return t.lineitem.select(
+    return with_month(t.lineitem, "l_shipdate", period).select(
         F.when(F.col("l_returnflag") == "R", F.concat(code, F.lit("   "))).otherwise(code).alias("coenti"),
         F.when(transfer & (n == 7), F.lit(""))
         .when(transfer & (n == 6), F.concat(F.date_format("l_shipdate", "yyyy"), F.lit("13")))

@@ -13,7 +13,7 @@ from tidemark.sources.raw import (
     require_files,
     with_provenance,
 )
-from tidemark.sources.tables import TableStore
+from tidemark.sources.tables import TableStore, temporary_store
 
 __all__ = [
     "PROVENANCE",
@@ -29,5 +29,6 @@ __all__ = [
     "months_between_bounds",
     "read_raw",
     "require_files",
+    "temporary_store",
     "with_provenance",
 ]

@@ -83,10 +83,14 @@ def read_raw(
 
 
 def file_listing(spark: SparkSession, folder: str) -> DataFrame:
-    """Name, size and path of each file in a folder; contents are not read."""
-    listing = spark.read.format("binaryFile").load(folder).select("path", "length")
+    """Name, size and path of each file under a folder; contents are not read.
+
+    A file that lies in a folder ``column=name``, as Spark writes an extract of several parts, goes by that name.
+    """
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path", "length")
+    parent = F.element_at(F.split("path", "/"), -2)
     return listing.select(
-        F.element_at(F.split("path", "/"), -1).alias("arquivo"),
+        F.when(parent.rlike("^[^=]+="), F.regexp_replace(parent, "^[^=]+=", "")).otherwise(F.element_at(F.split("path", "/"), -1)).alias("arquivo"),
         F.round(F.col("length") / 1024 / 1024, 2).alias("tamanho_mb"),
         F.col("path").alias("caminho"),
     )
@@ -100,11 +104,16 @@ def missing_files(spark: SparkSession, folder: str, expected: Iterable[str]) ->
 
 
 def require_files(spark: SparkSession, folder: str, expected: Iterable[str]) -> dict[str, str]:
-    """Path of each expected file; raises when one is missing."""
+    """Path of each expected file, whatever its case; raises when one is missing or two files go by one name."""
     names = list(expected)
     wanted = {n.lower(): n for n in names}
     rows = file_listing(spark, folder).filter(F.lower("arquivo").isin(list(wanted))).collect()
-    found = {wanted[r["arquivo"].lower()]: r["caminho"] for r in rows}
+    found: dict[str, str] = {}
+    for r in rows:
+        name = wanted[r["arquivo"].lower()]
+        if name in found:
+            raise ValueError(f"two files for {name}: {found[name]} and {r['caminho']}")
+        found[name] = r["caminho"]
     absent = [n for n in names if n not in found]
     if absent:
         raise FileNotFoundError(f"missing in {folder}: {absent}")
