@@ -32,3 +32,21 @@ def components(links: DataFrame) -> DataFrame:
         links = stage(links.select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(), "links")
         if links.isEmpty():
             return labels
+
+
+def merge_components(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``labels`` (id, component) after ``links`` (a, b) are added: only links between different components are contracted.
+
+    The names are smallest ids, so the smallest name of what is joined is the smallest id again.
+    """
+    if labels is None:
+        return components(links)
+    at_a, at_b = (labels.select(F.col("id").alias(x), F.col("component").alias(f"c{x}")) for x in "ab")
+    between = links.join(at_a, "a", "left").join(at_b, "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    between = stage(between.where("a <> b").distinct(), "between")
+    if between.isEmpty():
+        return labels
+    moved = components(between)
+    old = labels.join(moved.select(F.col("id").alias("component"), F.col("component").alias("to")), "component", "left")
+    old = old.select("id", F.coalesce("to", "component").alias("component"))
+    return stage(old.unionByName(moved.join(labels.select("id"), "id", "left_anti")), "labels")

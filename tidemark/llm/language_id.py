@@ -109,12 +109,17 @@ class LanguageModel:
 
     def word_scores(self, words: np.ndarray, buckets: np.ndarray, scripts: np.ndarray) -> np.ndarray:
         n, k = len(scripts), len(self.languages)
-        out = np.empty((n, k))
-        for j in range(k):
-            out[:, j] = np.bincount(words, self.weights[buckets, j], n)
         ok = self.allowed[scripts]
         none = ~ok.any(axis=1)
-        out[~ok] = -50.0
+        out = np.full((n, k), -50.0)
+        for j in range(k):
+            # only words whose script the language uses
+            mine = ok[:, j]
+            if mine.all():
+                out[:, j] = np.bincount(words, self.weights[buckets, j], n)
+            elif mine.any():
+                own = mine[words]
+                out[mine, j] = np.bincount(words[own], self.weights[buckets[own], j], n)[mine]
         out[none] = 0.0  # a script that no training text uses says nothing
         return out
 
@@ -141,10 +146,10 @@ def _viterbi(scores: np.ndarray, first: np.ndarray, chosen: np.ndarray, penalty:
     order = chosen[np.argsort(-(first[chosen + 1] - first[chosen]), kind="stable")]
     base, length = first[order], first[order + 1] - first[order]
     steps, k = int(length[0]), scores.shape[1]
-    back = np.zeros((int(length.sum()), k), np.int8)
+    back = np.zeros((int(length.sum()), k), np.int16)
     at = np.cumsum(length) - length
     value = scores[base].copy()
-    stay = np.arange(k, dtype=np.int8)
+    stay = np.arange(k, dtype=np.int16)
     active = np.searchsorted(-length, -np.arange(steps), "left")  # texts with more than t words
     for t in range(1, steps):
         a = active[t]
@@ -155,7 +160,7 @@ def _viterbi(scores: np.ndarray, first: np.ndarray, chosen: np.ndarray, penalty:
         back[at[:a] + t] = np.where(switch, best[:, None], stay)
         value[:a] = np.where(switch, moved[:, None], v) + scores[base[:a] + t]
     label = value.argmax(axis=1)
-    path = np.zeros(len(back), np.int8)
+    path = np.zeros(len(back), np.int16)
     for t in range(steps - 1, -1, -1):
         a = active[t]
         path[at[:a] + t] = label[:a]
@@ -238,47 +243,63 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     return LanguageModel(languages, weights.astype(np.float32), allowed.T, penalty)
 
 
+def _predictions(texts: pa.Array, model: LanguageModel, spans: bool) -> tuple[list[str], list[float], list[list[dict]]]:
+    """Language, score and, if asked for, stretches of each text."""
+    names, scores, stretches = [], [], []
+    for run in runs(texts, _RUN_BYTES):
+        starts, ends, first, labels = label_words(model, run)
+        length = ends - starts
+        for i in range(run.n):
+            lo, hi = int(first[i]), int(first[i + 1])
+            own = run.data[run.offsets[i] : run.offsets[i + 1]]
+            if lo == hi or (not (LOWER[own] - np.uint8(97) < 26).any() and not any(c.isalpha() for c in own.tobytes().decode("utf-8", "replace"))):
+                names.append(UNKNOWN), scores.append(0.0), stretches.append([])
+                continue
+            sure = labels[lo:hi] >= 0
+            weight = np.bincount(labels[lo:hi][sure], length[lo:hi][sure], len(model.languages))
+            best = int(weight.argmax())
+            names.append(model.languages[best])
+            scores.append(float(weight[best] / length[lo:hi].sum()))
+            if spans:
+                cut = np.flatnonzero(np.diff(labels[lo:hi])) + 1
+                base = int(run.offsets[i])
+                stretches.append([{"start": int(starts[lo + a]) - base, "end": int(ends[lo + b - 1]) - base, "lang": model.languages[labels[lo + a]]} for a, b in zip(np.r_[0, cut], np.r_[cut, hi - lo], strict=True) if labels[lo + a] >= 0])
+    return names, scores, stretches
+
+
 def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", spans: bool = False) -> DataFrame:
     """Per row: ``doc_id``, ``held_out``, ``lang_pred``, ``score`` and, if asked for, ``spans``.
 
     ``score`` is the share of the text's letters (bytes of its words) that carry the predicted label;
     ``spans`` are stretches (start, end, lang) in bytes of the UTF-8 text. Words in a script that no training text
-    uses carry no label. A null text, one without a letter or without a labelled word
+    uses carry no label; a text of such words alone gets the first language by name and 0. A null text or one without a letter
     gets ``und`` and 0. Ties go to the language first in order of name. A null id is kept and not held out;
     repeated rows are labelled each; further columns are ignored; an empty table gives no rows.
     """
     kind = "array<struct<start: int, end: int, lang: string>>"
-    kept = spans
 
     def of(batch: pa.RecordBatch) -> pa.RecordBatch:
-        names, scores, stretches = [], [], []
-        texts = batch.column(1)
-        for run in runs(texts, _RUN_BYTES):
-            starts, ends, first, labels = label_words(model, run)
-            length = ends - starts
-            for i in range(run.n):
-                lo, hi = int(first[i]), int(first[i + 1])
-                own = run.data[run.offsets[i] : run.offsets[i + 1]]
-                if lo == hi or (not (LOWER[own] - np.uint8(97) < 26).any() and not any(c.isalpha() for c in own.tobytes().decode("utf-8", "replace"))):
-                    names.append(UNKNOWN), scores.append(0.0), stretches.append([])
-                    continue
-                sure = labels[lo:hi] >= 0
-                if not sure.any():
-                    names.append(UNKNOWN), scores.append(0.0), stretches.append([])
-                    continue
-                weight = np.bincount(labels[lo:hi][sure], length[lo:hi][sure], len(model.languages))
-                best = int(weight.argmax())
-                names.append(model.languages[best])
-                scores.append(float(weight[best] / length[lo:hi].sum()))
-                if kept:
-                    cut = np.flatnonzero(np.diff(labels[lo:hi])) + 1
-                    base = int(run.offsets[i])
-                    stretches.append([{"start": int(starts[lo + a]) - base, "end": int(ends[lo + b - 1]) - base, "lang": model.languages[labels[lo + a]]} for a, b in zip(np.r_[0, cut], np.r_[cut, hi - lo], strict=True) if labels[lo + a] >= 0])
+        names, scores, stretches = _predictions(batch.column(1), model, spans)
         columns = [batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())]
-        if kept:
+        if spans:
             columns.append(pa.array(stretches, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))))
-        return pa.record_batch(columns, names=["id", "lang_pred", "score", *["spans"] * kept])
+        return pa.record_batch(columns, names=["id", "lang_pred", "score", *["spans"] * spans])
 
     schema = f"id {docs.schema[id_col].dataType.simpleString()}, lang_pred string, score double" + f", spans {kind}" * spans
     out = map_arrow(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), of, schema)
     return out.select(F.col("id").alias(id_col), held_out("id").alias("held_out"), "lang_pred", "score", *["spans"] * spans)
+
+
+def keep_language(docs: DataFrame, model: LanguageModel, least: float, text_col: str = "text") -> DataFrame:
+    """Rows of ``docs``, all columns, whose predicted language carries more than ``least`` of the text's letters.
+
+    Decided within one pass over the rows. Null texts and those without a letter go. Repeated rows are decided each, alike;
+    columns of any name are kept as they are; an empty table gives no rows.
+    """
+    at = docs.columns.index(text_col)
+
+    def of(batch: pa.RecordBatch) -> pa.RecordBatch:
+        names, scores, _ = _predictions(batch.column(at), model, False)
+        return batch.filter(pa.array([n != UNKNOWN and s > least for n, s in zip(names, scores, strict=True)], pa.bool_()))
+
+    return map_arrow(docs, of, docs.schema)

@@ -19,6 +19,7 @@ from tidemark.llm.pii import replace_personal_data
 from tidemark.llm.quality_rules import apply_rules
 from tidemark.llm.secrets import find_secrets
 from tidemark.llm.whitening import whiten
+from tidemark.session import stage
 
 #: The vocabulary that op5 packs by, as its public package names it.
 TOKENIZER = "word_bpe_49k.json"
@@ -142,21 +143,45 @@ ORACLE: dict[str, str] = {
 
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents whose language is known: most of their letters carry one language."""
-    model = language_id.train(docs)
-    tagged = docs.withColumn("_row", F.monotonically_increasing_id())
-    known = language_id.identify(tagged, model, id_col="_row").where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") > 0.5))
-    return tagged.join(known.select("_row"), "_row", "left_semi").drop("_row")
+    """Documents whose language is known: more than half of their letters carry one language.
+
+    Null texts and texts without letters go. Repeated rows are decided alike; all columns stay as they are; an empty table gives no rows.
+    """
+    return language_id.keep_language(docs, language_id.train(docs), 0.5)
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Of every group of near-duplicates the document with the smallest id."""
+    """Of every group of near-duplicates the document with the smallest id.
+
+    Rows that repeat an id are one document: the row that is least in order of text and then of the other columns stays. Rows without
+    an id and documents without words stay. All columns stay as they are; an empty table gives no rows.
+    """
     groups = near_duplicates(docs, shingle=5, percent=80)
-    gone = groups.where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    gone = stage(groups.where(~F.col("kept")).select("doc_id").distinct(), "gone")
+    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    again = stage(docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "repeated_ids")
+    if again.isEmpty():
+        return kept
+    order = ["text", *[c for c in docs.columns if c not in ("doc_id", "text")]]
+    once = kept.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*order)).alias("_least"))
+    once = once.select(*[F.col("doc_id") if c == "doc_id" else F.col(f"_least.{c}").alias(c) for c in docs.columns])
+    return kept.join(again, "doc_id", "left_anti").select(docs.columns).unionByName(once)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents that leak no benchmark item."""
-    leaks = contaminated(docs, table(spark, folder, "benchmark")).select("doc_id").distinct()
-    return docs.join(leaks, "doc_id", "left_anti").select(docs.columns)
+    """Documents that leak no benchmark item.
+
+    Rows without an id are looked at under numbers of their own. Repeated rows go or stay together; null and empty texts leak
+    nothing and stay. All columns stay as they are; an empty table, or an empty benchmark, drops nothing.
+    """
+    bench = table(spark, folder, "benchmark")
+    # written before the texts are dealt out: its size is known, and few ids need no shuffle of texts
+    leaks = stage(contaminated(docs.where("doc_id is not null"), bench).select("doc_id").distinct(), "leaks")
+    kept = docs.join(leaks, "doc_id", "left_anti").select(docs.columns)
+    nameless = docs.where("doc_id is null")
+    if nameless.isEmpty():
+        return kept
+    numbered = stage(nameless.withColumn("doc_id", F.monotonically_increasing_id()), "nameless")
+    found = stage(contaminated(numbered, bench).select("doc_id").distinct(), "leaks")
+    clean = numbered.join(found, "doc_id", "left_anti").withColumn("doc_id", F.lit(None).cast(docs.schema["doc_id"].dataType))
+    return kept.where("doc_id is not null").unionByName(clean.select(docs.columns))
