@@ -69,9 +69,9 @@ def test_leaks_without_an_id_go_too(spark, docs):
 def test_the_least_text_of_an_id_counts(spark):
     base = [f"w{i}" for i in range(60)]
     a, other = " ".join(base), " ".join(f"z{i}" for i in range(60))
-    rows = spark.createDataFrame([(1, a), (2, other), (2, a), (3, other), (3, other), (4, "q r s t u"), (None, a)], "doc_id long, text string")
+    rows = spark.createDataFrame([(1, a), (2, other), (2, a), (3, other), (3, other), (4, "q r s t u"), (None, a), (None, "a set of no other row here")], "doc_id long, text string")
     got = sorted((r.doc_id or 0, r.component_id or 0, r.n_shingles, r.kept) for r in near_duplicates(rows).collect())
-    assert got == [(0, 0, 56, True), (1, 1, 56, True), (2, 1, 56, False), (2, 1, 56, False), (3, 3, 56, True), (3, 3, 56, True), (4, 4, 1, True)]
+    assert got == [(0, 0, 3, True), (0, 0, 56, True), (1, 1, 56, True), (2, 1, 56, False), (2, 1, 56, False), (3, 3, 56, True), (3, 3, 56, True), (4, 4, 1, True)]
 
 
 def test_only_similarities_that_the_tables_find_are_taken(docs):
@@ -190,10 +190,10 @@ def test_language_by_another_way_through_the_table(docs, model):
             assert abs(got[r.doc_id].score - weight.max() / (ends - starts).sum()) < 1e-9
 
 
-def test_toxicity_and_quality_hold_out_by_label(spark, docs):
-    """Recall and precision on held-out toxic texts; accuracy alone would be high for a model that marks nothing."""
-    folder = "/root/testdata/sf0.01"
+def test_toxicity_finds_held_out_texts(spark):
+    """Recall and precision on held-out toxic texts, about a hundred; accuracy alone would be high for a model that marks nothing."""
+    folder = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic")
     held = queries.op4_toxicity(spark, folder).where("held_out").join(labels.where("toxic is not null"), "doc_id")
     hit, marked, toxic = held.agg(*[F.count_if(F.expr(c)) for c in ("toxic = 1 and predicted = 1", "predicted = 1", "toxic = 1")]).first()
-    assert toxic > 5 and hit >= 0.8 * toxic and hit >= 0.8 * marked
+    assert toxic > 50 and hit >= 0.85 * toxic and hit >= 0.95 * marked

@@ -420,7 +420,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     named = sets.join(label.withColumnRenamed("component", "_c"), "id", "left").select("set_id", F.coalesce("_c", "id").alias("component"))
     # empty texts have no set and wait for nobody in the join
-    with_set = prints.where("set_id is not null").select("id", "n_shingles", "set_id").join(named, "set_id").select("id", "n_shingles", "component")
+    with_set = prints.where("set_id is not null").select("id", "n_shingles", "set_id").join(named, "set_id", "left").select("id", "n_shingles", "component")
     without = prints.where("set_id is null").select("id", "n_shingles", F.col("id").alias("component"))
     out = with_set.unionByName(without)
     if repeats:
