@@ -117,9 +117,10 @@ from tidemark.session import shared_folder, stage
 spark = (SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false")
          .config("spark.checkpoint.dir", "{tmp_path}").getOrCreate())
 assert shared_folder(spark) == "{tmp_path}", shared_folder(spark)
-assert stage(spark.range(1)).inputFiles()[0].startswith("file://{tmp_path}/stage-")
+assert stage(spark.range(1)).inputFiles()[0].startswith("file://{tmp_path}/run-")
 """
     subprocess.run([sys.executable, "-c", code], check=True, timeout=120, cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    assert not [d for d in os.listdir(tmp_path) if d.startswith("run-")]  # what the run staged went with it
 
 
 def test_read_raw_goes_by_the_header(spark, tmp_path):
