@@ -25,7 +25,7 @@ from tidemark.llm.words import LOWER, PrefixHash, Run, runs
 BUCKETS = 1 << 16
 ORDERS = (2, 3, 4)
 UNKNOWN = "und"
-_RUN_BYTES = 1 << 20
+_RUN_BYTES = 1 << 19
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
