@@ -3,6 +3,7 @@
 import os
 import subprocess
 import sys
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -120,7 +121,11 @@ assert shared_folder(spark) == "{tmp_path}", shared_folder(spark)
 assert stage(spark.range(1)).inputFiles()[0].startswith("file://{tmp_path}/run-")
 """
     subprocess.run([sys.executable, "-c", code], check=True, timeout=120, cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    assert not [d for d in os.listdir(tmp_path) if d.startswith("run-")]  # what the run staged went with it
+    # what the run staged goes with its JVM, which ends a little after Python does
+    until = time.monotonic() + 30
+    while (left := [d for d in os.listdir(tmp_path) if d.startswith("run-")]) and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not left
 
 
 def test_read_raw_goes_by_the_header(spark, tmp_path):
