@@ -14,7 +14,6 @@ are fitted on the same bounded sample of labelled rows, so a grammar mark counts
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from dataclasses import dataclass
 
@@ -25,19 +24,16 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import held_out, labelled, map_arrow
 from tidemark.llm.transducers import Transducer
-from tidemark.llm.words import LOWER, PrefixHash, Run, hash_bytes, runs
+from tidemark.llm.words import PrefixHash, Run, hash_bytes, letters_and_small, runs
 
 PREFIXES = (3, 4, 5, 6, 7)
-_LETTER = np.zeros(256, bool)
-_LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
-_WORD = re.compile(r"[^\W\d_]+")
 _STOP = np.zeros(256, bool)
 _STOP[list(b".!?;:\n")] = True
 
-# Fixed word lists of the grammar, in English, German, French and Spanish.
+# Fixed word lists of the grammar, in English, German, French and Spanish; of short forms the part before the apostrophe.
 THREATS = "kill hurt destroy murder stab shoot töten umbringen verletzen tuer frapper matar golpear".split()
 TARGETS = "you your yourself they them he she him her people du dich dein ihr sie er tu te toi vous ton votre il elle ils usted tú él ella ellos ustedes".split()
-NEGATIONS = "not no never isn't aren't nicht kein keine nie pas jamais non nunca jamás ni".split()
+NEGATIONS = "not no never isn aren wasn weren doesn didn nicht kein keine nie pas jamais non nunca jamás ni".split()
 REPORTS = "said says wrote claimed called quoted reported sagte sagt schrieb behauptete dit écrit affirme dijo dice escribió afirmó".split()
 
 KINDS = ("plain", "directed", "negated", "reported", "reported_negated")
@@ -118,12 +114,13 @@ _FIXED_KEYS = np.array(sorted(_FIXED), np.uint64)
 _FIXED_TAGS = np.array([_FIXED[int(k)] for k in _FIXED_KEYS])
 
 
-def _lowered(data: np.ndarray) -> np.ndarray:
-    out = LOWER[data]
-    if len(data) > 1:
-        capital = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
-        out[1:][capital] += 0x20
-    return out
+def _words(run: Run) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes in small letters; starts and ends of the runs of letters in them, first one of each text.
+
+    Learning and scoring both cut words here: quotes, apostrophes and dashes end a word, so an elided article is one of its own.
+    """
+    inside, data = letters_and_small(run.data)
+    return data, *run.spans(inside)
 
 
 @dataclass
@@ -137,8 +134,7 @@ class ToxicityModel:
 
     def events(self, run: Run) -> tuple[np.ndarray, list[list[tuple[int, int, str, float]]]]:
         """Summed strength of each event per text, the rate of hints, and the matches (start, end in bytes, event, strength)."""
-        data = _lowered(run.data)
-        starts, ends, first = run.spans(_LETTER[data] | (data == 0x27))
+        data, starts, ends, first = _words(run)
         hashes = PrefixHash(data)
         whole = hashes.of(starts, ends)
         strength = self.lexicon.strengths(hashes, starts, ends, whole)
@@ -182,9 +178,14 @@ def learn_lexicon(sample: DataFrame, positives: int, negatives: int, most: int =
 
     def of(batch: pa.RecordBatch) -> pa.RecordBatch:
         counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
-        for y, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            words = set(_WORD.findall(text.lower()))
-            counts[1 if y else 0].update({w + "$" for w in words if len(w) > 2} | {w[:n] for w in words for n in PREFIXES if len(w) >= n})
+        marks = batch.column(0).to_pylist()
+        for run in runs(batch.column(1)):
+            data, starts, ends, first = _words(run)
+            raw = data.tobytes()
+            for i in range(run.n):
+                own = slice(first[i], first[i + 1])
+                words = {raw[s:e].decode() for s, e in zip(starts[own], ends[own], strict=True)}
+                counts[1 if marks[run.first + i] else 0].update({w + "$" for w in words if len(w) > 2} | {w[:n] for w in words for n in PREFIXES if len(w) >= n})
         stems = sorted(set(counts[0]) | set(counts[1]))
         return pa.record_batch([pa.array(stems, pa.string()), pa.array([counts[1][s] for s in stems], pa.int64()), pa.array([counts[0][s] for s in stems], pa.int64())], names=["stem", "toxic", "clean"])
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -107,6 +108,45 @@ def runs(texts: pa.Array, run_bytes: int = RUN_BYTES) -> Iterator[Run]:
         first = last
 
 
+@cache
+def _letter_table() -> np.ndarray:
+    """Of each code point, whether ``[^\\W\\d_]`` matches it."""
+    return np.array([c.isalnum() and not c.isdecimal() for c in map(chr, range(0x110000))])
+
+
+@cache
+def _lower_table() -> np.ndarray:
+    """The small form of each code point below 0x800, where it takes two bytes as well."""
+    small = [c.lower() for c in map(chr, range(0x800))]
+    return np.array([ord(s) if len(s) == 1 and 0x80 <= ord(s) < 0x800 else k for k, s in enumerate(small)])
+
+
+def code_points(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the characters beyond ASCII in UTF-8 bytes: where each begins, its bytes, its code point."""
+    at = np.flatnonzero(data >= 0xC0)
+    lead = data[at].astype(np.int64)
+    size = 2 + (lead >= 0xE0) + (lead >= 0xF0)
+    value = lead & (0x7F >> size)
+    for k in range(1, 4):
+        more = size > k
+        value[more] = value[more] << 6 | data[at[more] + k] & 0x3F
+    return at, size, value
+
+
+def letters_and_small(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which bytes belong to letters, and the bytes with capitals of one or two bytes made small in place."""
+    small = LOWER[data]
+    inside = (small >= 97) & (small <= 122)
+    at, size, value = code_points(data)
+    letter = _letter_table()[value]
+    for k in range(4):
+        inside[at[letter & (size > k)] + k] = True
+    two = at[size == 2]
+    lower = _lower_table()[value[size == 2]]
+    small[two], small[two + 1] = 0xC0 | lower >> 6, 0x80 | lower & 0x3F
+    return inside, small
+
+
 def shingles(words: np.ndarray, size: int) -> np.ndarray:
     """Hashes of all windows of ``size`` word hashes."""
     n = len(words) - size + 1
