@@ -90,6 +90,9 @@ def secret_spans(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int,
     if long:
         base += [(*m.span(), "hex") for m in _HEX.finditer(text)]
     added: list[tuple[int, int, str]] = []
+    taken = bytearray(len(text) if long else 0)
+    for s, e, _ in base if long else ():
+        taken[s:e] = b"\1" * (e - s)
     for a, b in long:
         if _allowed(text[a:b]):
             continue
@@ -99,8 +102,9 @@ def secret_spans(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int,
                     continue
                 for x, y in entropy_spans(m[0], threshold):
                     x, y = x + m.start(), y + m.start()
-                    if not any(x < e and s < y for s, e, _ in base + added):
+                    if taken.find(1, x, y) < 0:
                         added.append((x, y, "entropy"))
+                        taken[x:y] = b"\1" * (y - x)
     return base, added
 
 
