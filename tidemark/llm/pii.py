@@ -133,10 +133,10 @@ def _date(m: re.Match, key: bytes) -> str | None:
     if not _FIRST <= day <= _LAST:
         return None
 
-    def fits(v: int) -> bool:  # a date of another order must not read as day first
-        return order != "mdy" or (_FIRST + dt.timedelta(v)).day > 12
+    def fits(v: int) -> bool:  # days after the 12th stay so: one pseudonym in every order, and month first never reads as day first
+        return ((_FIRST + dt.timedelta(v)).day > 12) == (day.day > 12)
 
-    fresh = _FIRST + dt.timedelta(permute((day - _FIRST).days, (_LAST - _FIRST).days + 1, key, "date", fits if order == "mdy" else None))
+    fresh = _FIRST + dt.timedelta(permute((day - _FIRST).days, (_LAST - _FIRST).days + 1, key, "date", fits))
     fields = {"y": f"{fresh.year:04d}", "m": f"{fresh.month:02d}", "d": f"{fresh.day:02d}"}
     return m[2].join(fields[x] for x in order)
 
@@ -251,21 +251,26 @@ def pseudonymise(text: str, key: bytes) -> tuple[str, list[tuple[int, int, str]]
     if not any(c in text for c in "0123456789@"):
         return text, []
     taken: list[tuple[int, int, str, str]] = []
+    covered = bytearray(len(text))
     for kind, pattern, make in DETECTORS:
         if kind == "email" and "@" not in text:
             continue
         open_text = text
         if kind in ("card", "phone"):  # runs of digits end where another kind begins
-            for s, e, _, _ in taken:
-                open_text = open_text[:s] + "\0" * (e - s) + open_text[e:]
+            parts, at = [], 0
+            for s, e, _, _ in sorted(taken):
+                parts += [text[at:s], "\0" * (e - s)]
+                at = e
+            open_text = "".join([*parts, text[at:]])
         for m in _matches(kind, pattern, open_text):
-            if any(m.start() < e and s < m.end() for s, e, _, _ in taken):
+            if covered.find(1, m.start(), m.end()) >= 0:
                 continue
             if kind == "phone" and _goes_on(open_text, m):
                 continue
             fresh = make(m, key)
             if fresh is not None:
                 taken.append((*m.span(), kind, fresh))
+                covered[m.start() : m.end()] = b"\1" * (m.end() - m.start())
     out, at, spans = [], 0, []
     for s, e, kind, fresh in sorted(taken):
         out += [text[at:s], fresh]
