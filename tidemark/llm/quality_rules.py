@@ -3,11 +3,13 @@
 Method
 ------
 Fixed counts per text (words, symbols, repeated lines and word windows) give ratios. Mergeable KLL quantile
-sketches of every ratio are built per language and source in one aggregation and merged per language. A
-group's upper fence for a ratio is its ninth decile plus a multiple of that decile's distance from the median, and
-no higher than a ceiling, so that a group that is mostly junk does not set its own standard. Where the two are equal
-there is no spread to go by, and a fixed guard stands in. A group with few texts uses its language's fence, and
-that language the whole table's. Texts are joined to their group's fences; one above any is not kept.
+sketches of every ratio are built per language and source in one aggregation and merged per language and over all. In
+the sketches a text with a count of zero stands with a count of one: what a single symbol or line makes of a text of that
+length gives a spread to go by, also where most texts have none. A group's upper fence for a ratio is its ninth decile
+plus a multiple of that decile's distance from the median, and no higher than a ceiling, so that a group that is mostly
+junk does not set its own standard; only where all texts are alike a fixed guard stands in. The fence of a group of n
+texts counts with weight n / (n + ``enough``) and that of its parent (the language, then the whole table) with the rest,
+so a few texts never decide and no number of texts switches the rule. Texts are joined to their group's fences; one above any is not kept.
 """
 
 from __future__ import annotations
@@ -75,14 +77,10 @@ def measures(docs: DataFrame, id_col: str, text_col: str, groups: list[str]) ->
     return map_arrow(docs.select(F.col(id_col).alias("id"), *groups, text_col), of, kinds + "".join(f", {n} long" for n in names))
 
 
-def _ratios() -> dict[str, Column]:
-    words, chars = F.greatest(F.col("n_words"), F.lit(1)), F.greatest(F.col("word_chars"), F.lit(1))
-    return {
-        "symbol_ratio": F.col("n_symbols") / chars,
-        "repeat_ratio": F.col("n_repeat_words") / words,
-        "upper_ratio": F.col("n_upper") / chars,
-        "line_ratio": F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)),
-    }
+def _ratio(name: str, least: int = 0) -> Column:
+    """A ratio of a text, its count taken as ``least`` or more."""
+    count, size = {"symbol_ratio": ("n_symbols", "word_chars"), "repeat_ratio": ("n_repeat_words", "n_words"), "upper_ratio": ("n_upper", "word_chars"), "line_ratio": ("n_dup_lines", "n_lines")}[name]
+    return F.greatest(F.col(count), F.lit(least)) / F.greatest(F.col(size), F.lit(1))
 
 
 def _fence(name: str, guard: float, high: float, spread: float) -> Column:
@@ -95,30 +93,33 @@ def apply_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Per row: ``doc_id``, ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``, ``base_failed``, ``kept``.
 
     ``base_failed``: fewer than 50 words, or over half of the words in repeated windows. ``spread``: how many
-    times the distance from the median to the ninth decile a ratio may lie above that decile; ``enough``: texts
-    that a group needs to set its own fences. Null, empty and blank texts have no words and fail. A null
+    times the distance from the median to the ninth decile a ratio may lie above that decile; ``enough``: at
+    so many texts a group's own fences and its parent's count half each. Null, empty and blank texts have no words and fail. A null
     language or source is a group of its own. A null id is kept as a row; repeated rows are judged each; further
     columns are ignored; an empty table gives no rows.
     """
-    rows = measures(docs.withColumnsRenamed({lang_col: "_lang", source_col: "_source"}), id_col, text_col, ["_lang", "_source"])
-    rows = stage(rows.withColumns({"base_failed": (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))} | _ratios()), "measures")
+    rows = measures(docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("_lang"), F.col(source_col).alias("_source"), F.col(text_col).alias("text")), "id", "text", ["_lang", "_source"])
+    rows = stage(rows.withColumns({"base_failed": (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))} | {name: _ratio(name) for name, _, _ in RATIOS}), "measures")
     names = [name for name, _, _ in RATIOS]
-    sketches = stage(rows.groupBy("_lang", "_source").agg(F.count("*").alias("n"), *[F.kll_sketch_agg_double(name).alias(name) for name in names]), "sketches")
+    sketches = stage(rows.groupBy("_lang", "_source").agg(F.count("*").alias("n"), *[F.kll_sketch_agg_double(_ratio(name, 1)).alias(name) for name in names]), "sketches")
     by_lang = sketches.groupBy("_lang").agg(F.sum("n").alias("n"), *[F.kll_merge_agg_double(name).alias(name) for name in names])
     overall = by_lang.agg(F.sum("n").alias("n"), *[F.kll_merge_agg_double(name).alias(name) for name in names])
 
     def fences(sketch: DataFrame, tag: str) -> list[Column]:
         return [_fence(name, guard, high, spread).alias(f"{name}_{tag}") for name, guard, high in RATIOS]
 
-    own = sketches.where(F.col("n") >= enough).select("_lang", "_source", *fences(sketches, "own"))
-    of_lang = by_lang.where(F.col("n") >= enough).select("_lang", *fences(by_lang, "lang"))
-    # one row for each language and source that occurs: small beside the texts, and joined to them last
-    keys = rows.select("_lang", "_source").distinct()
-    level = keys.join(own, keys["_lang"].eqNullSafe(own["_lang"]) & keys["_source"].eqNullSafe(own["_source"]), "left").select(keys["*"], *[f"{n}_own" for n in names])
-    level = level.join(of_lang, level["_lang"].eqNullSafe(of_lang["_lang"]), "left").select(level["*"], *[f"{n}_lang" for n in names])
+    own = sketches.select("_lang", "_source", F.col("n").alias("_n_own"), *fences(sketches, "own"))
+    of_lang = by_lang.select("_lang", F.col("n").alias("_n_lang"), *fences(by_lang, "lang"))
     general = overall.where("n > 0").select(*fences(overall, "all")).first()
-    default = {name: (general[f"{name}_all"] if general else high) for name, _, high in RATIOS}
-    level = level.select("_lang", "_source", *[F.coalesce(f"{n}_own", f"{n}_lang", F.lit(default[n])).alias(f"{n}_fence") for n in names])
+    # one row for each language and source that occurs: small beside the texts, and joined to them last
+    level = own.join(of_lang.withColumnRenamed("_lang", "_l"), F.col("_lang").eqNullSafe(F.col("_l")), "left")
+
+    def fence(name: str) -> Column:
+        part = [F.col(f"_n_{tag}") / (F.col(f"_n_{tag}") + enough) for tag in ("own", "lang")]
+        of = part[1] * F.col(f"{name}_lang") + (1 - part[1]) * F.lit(general[f"{name}_all"] if general else None)
+        return part[0] * F.col(f"{name}_own") + (1 - part[0]) * of
+
+    level = level.select("_lang", "_source", *[fence(n).alias(f"{n}_fence") for n in names])
     both = rows.join(level, rows["_lang"].eqNullSafe(level["_lang"]) & rows["_source"].eqNullSafe(level["_source"]), "left")
     above = F.lit(False)
     for name in names:
