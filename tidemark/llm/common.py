@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Rows whose texts are Python strings at a time, where an operator needs them as such.
+TEXT_ROWS = 256
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
@@ -45,15 +49,17 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, id_col: str, column
     return texts.join(F.broadcast(marks), "_id").select("y", *columns)
 
 
-def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
-    """Apply ``fn`` to each Arrow batch; it returns one batch or several."""
+def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | Iterable[pa.RecordBatch]], schema: str, rows: int | None = None) -> DataFrame:
+    """Apply ``fn`` to each Arrow batch, in slices of at most ``rows`` rows; it returns one batch or several."""
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = fn(batch)
-            if isinstance(out, pa.RecordBatch):
-                yield out
-            else:
-                yield from out
+            size = rows or max(1, len(batch))
+            for at in range(0, max(1, len(batch)), size):
+                out = fn(batch.slice(at, size))
+                if isinstance(out, pa.RecordBatch):
+                    yield out
+                else:
+                    yield from out
 
     return df.mapInArrow(over, schema)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_arrow
+from tidemark.llm.common import TEXT_ROWS, map_arrow
 from tidemark.session import stage
 
 _CACHE_WORDS = 500_000
@@ -114,7 +114,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int, id_col:
         return pa.record_batch(columns, names=names)
 
     schema = f"id {docs.schema[id_col].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
-    return map_arrow(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), of, schema)
+    return map_arrow(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), of, schema, TEXT_ROWS)
 
 
 def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:

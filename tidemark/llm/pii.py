@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_arrow
+from tidemark.llm.common import TEXT_ROWS, map_arrow
 
 ROUNDS = 8
 
@@ -301,6 +301,6 @@ def replace_personal_data(docs: DataFrame, key: str, id_col: str = "doc_id", tex
         return pa.record_batch(columns, names=["id", "text", *(f"n_{k}" for k in KINDS), "spans"])
 
     schema = f"id {docs.schema[id_col].dataType.simpleString()}, text string, " + ", ".join(f"n_{k} long" for k in KINDS) + ", spans string"
-    out = map_arrow(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), of, schema)
+    out = map_arrow(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), of, schema, TEXT_ROWS)
     return out.withColumnsRenamed({"id": id_col, "text": text_col})
 

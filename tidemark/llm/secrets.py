@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_arrow
+from tidemark.llm.common import TEXT_ROWS, map_arrow
 
 KINDS = ("assign", "access", "hex", "entropy")
 _ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.IGNORECASE | re.ASCII)
@@ -133,7 +133,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return pa.record_batch(columns, names=["id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"])
 
     schema = f"id {docs.schema[id_col].dataType.simpleString()}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
-    return map_arrow(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), of, schema).withColumnRenamed("id", id_col)
+    return map_arrow(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), of, schema, TEXT_ROWS).withColumnRenamed("id", id_col)
 
 
 def redact(text: str, mark: str = "[SECRET]") -> str:
@@ -164,4 +164,4 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", length_col: str | No
             batch = batch.set_column(k, length_col, pa.array(lengths, batch.schema.field(k).type))
         return batch
 
-    return map_arrow(docs, of, docs.schema)
+    return map_arrow(docs, of, docs.schema, TEXT_ROWS)
