@@ -3,11 +3,11 @@
 Method
 ------
 Fixed counts per text (words, symbols, repeated lines and word windows) give ratios. Mergeable KLL quantile
-sketches of every ratio are built per language and source in one aggregation and merged per language and over all. In
-the sketches a text with a count of zero stands with a count of one: what a single symbol or line makes of a text of that
-length gives a spread to go by, also where most texts have none. A group's upper fence for a ratio is its ninth decile
-plus a multiple of that decile's distance from the median, and no higher than a ceiling, so that a group that is mostly
-junk does not set its own standard; only where all texts are alike a fixed guard stands in. The fence of a group of n
+sketches of every ratio are built per language and source in one aggregation and merged per language and over all. A
+group's upper fence for a ratio is its ninth decile plus a multiple of that decile's distance from the median, and no
+higher than a ceiling, so that a group that is mostly junk does not set its own standard. Where the two are equal, since
+most texts have no such symbol or line, a second sketch serves in which a count of zero stands as one: what a single one
+makes of texts of that length. Only where that shows no spread either, a fixed guard stands in. The fence of a group of n
 texts counts with weight n / (n + ``enough``) and that of its parent (the language, then the whole table) with the rest,
 so a few texts never decide and no number of texts switches the rule. Texts are joined to their group's fences; one above any is not kept.
 """
@@ -84,12 +84,15 @@ def _ratio(name: str, least: int = 0) -> Column:
 
 
 def _fence(name: str, guard: float, high: float, spread: float) -> Column:
-    middle = F.kll_sketch_get_quantile_double(name, F.lit(0.5))
-    upper = F.kll_sketch_get_quantile_double(name, F.lit(0.9))
-    return F.when(upper > middle, F.least(upper + spread * (upper - middle), F.lit(high))).otherwise(guard)
+    def of(sketch: str, otherwise: Column) -> Column:
+        middle = F.kll_sketch_get_quantile_double(sketch, F.lit(0.5))
+        upper = F.kll_sketch_get_quantile_double(sketch, F.lit(0.9))
+        return F.when(upper > middle, F.least(upper + spread * (upper - middle), F.lit(high))).otherwise(otherwise)
 
+    return of(name, of(f"{name}_one", F.lit(guard)))
 
-def apply_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", spread: float = 4.0, enough: int = 200) -> DataFrame:
+
+def apply_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", spread: float = 4.0, enough: int = 20) -> DataFrame:
     """Per row: ``doc_id``, ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``, ``base_failed``, ``kept``.
 
     ``base_failed``: fewer than 50 words, or over half of the words in repeated windows. ``spread``: how many
@@ -101,9 +104,10 @@ def apply_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = measures(docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("_lang"), F.col(source_col).alias("_source"), F.col(text_col).alias("text")), "id", "text", ["_lang", "_source"])
     rows = stage(rows.withColumns({"base_failed": (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))} | {name: _ratio(name) for name, _, _ in RATIOS}), "measures")
     names = [name for name, _, _ in RATIOS]
-    sketches = stage(rows.groupBy("_lang", "_source").agg(F.count("*").alias("n"), *[F.kll_sketch_agg_double(_ratio(name, 1)).alias(name) for name in names]), "sketches")
-    by_lang = sketches.groupBy("_lang").agg(F.sum("n").alias("n"), *[F.kll_merge_agg_double(name).alias(name) for name in names])
-    overall = by_lang.agg(F.sum("n").alias("n"), *[F.kll_merge_agg_double(name).alias(name) for name in names])
+    sketches = stage(rows.groupBy("_lang", "_source").agg(F.count("*").alias("n"), *[F.kll_sketch_agg_double(_ratio(name, least)).alias(f"{name}{tag}") for name in names for least, tag in ((0, ""), (1, "_one"))]), "sketches")
+    merged = [F.sum("n").alias("n"), *[F.kll_merge_agg_double(f"{name}{tag}").alias(f"{name}{tag}") for name in names for tag in ("", "_one")]]
+    by_lang = sketches.groupBy("_lang").agg(*merged)
+    overall = by_lang.agg(*merged)
 
     def fences(sketch: DataFrame, tag: str) -> list[Column]:
         return [_fence(name, guard, high, spread).alias(f"{name}_{tag}") for name, guard, high in RATIOS]
